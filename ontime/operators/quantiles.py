@@ -57,8 +57,8 @@ def rank_values(df: DataFrame, columns: list[str], targets: dict[str, callable],
     """For each column and target, the smallest value whose cumulative count reaches it.
 
     ``targets`` maps an output name to a function of the column's valid row
-    count ``N`` (a Column) returning the target rank as a double.  Output:
-    one row per column with ``N`` and one column per target.
+    count (a Column) returning the target rank as a double.  Output: one row
+    per column with ``total_n`` and one column per target.
     """
     vc = value_counts(df, columns)
     bounds = _bucket_bounds(vc, buckets)
@@ -78,9 +78,9 @@ def rank_values(df: DataFrame, columns: list[str], targets: dict[str, callable],
     running = by_col.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = (vcb.groupBy("column", "bucket").agg(F.sum("n").alias("bn"))
                  .withColumn("end", F.sum("bn").over(running))
-                 .withColumn("N", F.sum("bn").over(by_col))
+                 .withColumn("total_n", F.sum("bn").over(by_col))
                  .withColumn("start", F.col("end") - F.col("bn")))
-    tcols = {name: F.greatest(fn(F.col("N")).cast("double"), F.lit(1.0)) for name, fn in targets.items()}
+    tcols = {name: F.greatest(fn(F.col("total_n")).cast("double"), F.lit(1.0)) for name, fn in targets.items()}
     totals = totals.withColumns({f"t_{k}": v for k, v in tcols.items()})
     hit = None
     for k in targets:
@@ -93,7 +93,7 @@ def rank_values(df: DataFrame, columns: list[str], targets: dict[str, callable],
     within = Window.partitionBy("column", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding,
                                                                              Window.currentRow)
     ranked = ranked.withColumn("cum", F.col("start") + F.sum("n").over(within))
-    aggs = [F.first("N").alias("N")]
+    aggs = [F.first("total_n").alias("total_n")]
     aggs += [F.min(F.when(F.col("cum") >= F.col(f"t_{k}"), F.col("v"))).alias(k) for k in targets]
     return ranked.groupBy("column").agg(*aggs)
 
@@ -122,7 +122,7 @@ def quantiles_cont(df: DataFrame, columns: list[str], probs: list[float],
     wide = rank_values(df, columns, targets, buckets)
     structs = []
     for p in probs:
-        rn = (F.col("N").cast("double") - 1.0) * F.lit(float(p))
+        rn = (F.col("total_n").cast("double") - 1.0) * F.lit(float(p))
         frac = rn - F.floor(rn)
         lo, hi = F.col(_pname(p) + "_lo"), F.col(_pname(p) + "_hi")
         structs.append(F.struct(F.lit(float(p)).alias("probability"), (lo + (hi - lo) * frac).alias("value")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ontime.functions.expressions import delay_bucket, delayed_flag, pct
 from ontime.schema import LABEL
@@ -76,9 +77,26 @@ def top_groups(df: DataFrame, key: str, k: int = 10, target: str = LABEL,
               .limit(k))
 
 
+def _width(dt: T.DataType) -> int:
+    """Bytes per value, Spark's default sizes (strings and binaries as 20)."""
+    if isinstance(dt, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(dt, T.ShortType):
+        return 2
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    if isinstance(dt, T.StructType):
+        return sum(_width(f.dataType) for f in dt.fields)
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        return 20
+    return 8
+
+
 def estimated_bytes(df: DataFrame, rows: int) -> int:
     """Row count times the schema's default row width."""
-    return rows * sum(f.dataType.defaultSize() for f in df.schema.fields)
+    return rows * sum(_width(f.dataType) for f in df.schema.fields)
 
 
 def enrich(fact: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
