@@ -128,11 +128,16 @@ def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: list[str], listwise: bool = True) -> DataFrame:
-    """Pearson correlation of every ordered pair in one aggregate.
-
-    Long form ``(col_x, col_y, r)``; ``r`` is null when either column is
-    constant.  ``listwise`` drops rows null or NaN in any of the columns, as
-    the reference's ``dropna`` did.  Cost: one scan, k*(k+1)/2 moment pairs.
+    """Pearson correlation of every ordered pair (A13, D15), two aggregate passes.
+
+    Pass 1 gets each column's mean, min and max (3 numbers per column to the
+    driver); pass 2 sums the centred cross products of all k*(k+1)/2 pairs in
+    one aggregate of plain ``sum``s.  Centring first is the two-pass algorithm,
+    numerically as stable as ``covar_samp`` and far cheaper than k*(k+1)/2
+    separate covariance buffers.  ``r`` is null when either column is constant
+    (min == max), where ``corr`` would divide by zero.  ``listwise`` drops rows
+    null or NaN in any of the columns, as the reference's ``dropna`` did.
+    Output: long form ``(col_x, col_y, r)``.
     """
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     if listwise:
@@ -141,18 +146,23 @@ def correlation_matrix(df: DataFrame, columns: list[str], listwise: bool = True)
             v = is_valid_number(c)
             cond = v if cond is None else cond & v
         data = data.filter(cond)
-    pairs = {}
-    for i, a in enumerate(columns):
-        for b in columns[i:]:
-            pairs[(a, b)] = safe_corr(a, b)
-    keyed = {f"c{i}": e for i, e in enumerate(pairs.values())}
-    agg = data.agg(*[e.alias(k) for k, e in keyed.items()])
+    stats = data.agg(*[e for c in columns for e in (F.avg(c).alias(f"m{columns.index(c)}"),
+                                                       F.min(c).alias(f"lo{columns.index(c)}"),
+                                                       F.max(c).alias(f"hi{columns.index(c)}"))]).first()
+    mean = {c: stats[f"m{i}"] for i, c in enumerate(columns)}
+    const = {c: stats[f"lo{i}"] is None or stats[f"lo{i}"] == stats[f"hi{i}"] for i, c in enumerate(columns)}
+    centred = {c: F.col(c) - F.lit(mean[c] if mean[c] is not None else 0.0) for c in columns}
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    sums = data.agg(*[F.sum(centred[a] * centred[b]).alias(f"s{j}") for j, (a, b) in enumerate(pairs)])
+    index = {p: j for j, p in enumerate(pairs)}
     structs = []
-    for i, (a, b) in enumerate(pairs):
-        structs.append(F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), F.col(f"c{i}").alias("r")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("col_x"), F.lit(a).alias("col_y"), F.col(f"c{i}").alias("r")))
-    return agg.select(F.inline(F.array(*structs)))
+    for a in columns:
+        for b in columns:
+            j = index[(a, b)] if (a, b) in index else index[(b, a)]
+            sxy, sxx, syy = F.col(f"s{j}"), F.col(f"s{index[(a, a)]}"), F.col(f"s{index[(b, b)]}")
+            r = F.lit(None).cast("double") if (const[a] or const[b]) else F.try_divide(sxy, F.sqrt(sxx * syy))
+            structs.append(F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), r.alias("r")))
+    return sums.select(F.inline(F.array(*structs)))
 
 
 def _min_max(df: DataFrame, column: str) -> tuple[float | None, float | None, int]:

@@ -35,7 +35,7 @@ from ontime.session import scratch_path
 from ontime.sources.catalog import Candidate, load_first, register_external
 from ontime.sources.files import read_csv_raw, read_csv_typed, read_parquet
 from ontime.sources.fixture import flights, flights_from_lineitem, read_table, table_path
-from ontime.sources.sinks import write_layer
+from ontime.sources.sinks import persisted, write_layer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -700,46 +700,53 @@ def _train_test(spark, d):
     return S.hash_split(f, 0.2, KEYS)
 
 
+def _fit(pipeline, train):
+    """Fit on a persisted train set: the estimators make several passes."""
+    with persisted(train) as t:
+        return pipeline.fit(t)
+
+
 @query("linear_regression")
 def q_linear_regression(spark, d):
     train, test = _train_test(spark, d)
-    model = M.linear_regression(MODEL_FEATURES, max_iter=50, reg_param=0.1).fit(train)
+    model = _fit(M.linear_regression(MODEL_FEATURES, max_iter=50, reg_param=0.1), train)
     return M.regression_metrics(model.transform(test))
 
 
 @query("random_forest")
 def q_random_forest(spark, d):
     train, test = _train_test(spark, d)
-    model = M.random_forest(MODEL_FEATURES, num_trees=20, max_depth=6, seed=42).fit(train)
+    model = _fit(M.random_forest(MODEL_FEATURES, num_trees=20, max_depth=6, seed=42), train)
     return M.regression_metrics(model.transform(test))
 
 
 @query("iterative_linear")
 def q_iterative_linear(spark, d):
     train, test = _train_test(spark, d)
-    model = M.iterative_linear(MODEL_FEATURES, max_iter=100).fit(train)
+    model = _fit(M.iterative_linear(MODEL_FEATURES, max_iter=100), train)
     return M.regression_metrics(model.transform(test))
 
 
 @query("score_rows")
 def q_score_rows(spark, d):
     train, test = _train_test(spark, d)
-    model = M.linear_regression(MODEL_FEATURES).fit(train)
+    model = _fit(M.linear_regression(MODEL_FEATURES), train)
     return M.score_rows(model, test, keep=KEYS)
 
 
 @query("model_comparison")
 def q_model_comparison(spark, d):
     train, test = _train_test(spark, d)
-    models = {"linear_regression": M.linear_regression(MODEL_FEATURES).fit(train),
-              "random_forest": M.random_forest(MODEL_FEATURES, num_trees=20, max_depth=6).fit(train)}
+    with persisted(train) as t:
+        models = {"linear_regression": M.linear_regression(MODEL_FEATURES).fit(t),
+                  "random_forest": M.random_forest(MODEL_FEATURES, num_trees=20, max_depth=6).fit(t)}
     return M.compare_models(models, test)
 
 
 @query("model_roundtrip")
 def q_model_roundtrip(spark, d):
     train, test = _train_test(spark, d)
-    model = M.linear_regression(MODEL_FEATURES).fit(train)
+    model = _fit(M.linear_regression(MODEL_FEATURES), train)
     path = M.save_model(model, scratch_path(spark, "model"))
     again = M.load_model(path)
     # Both models score the same rows side by side; no join on the (non-unique) keys.
@@ -753,8 +760,7 @@ def q_model_roundtrip(spark, d):
 @query("delay_classifier")
 def q_delay_classifier(spark, d):
     train, test = _train_test(spark, d)
-    weighted = M.with_class_weight(train)
-    model = M.delay_classifier(MODEL_FEATURES).fit(weighted)
+    model = _fit(M.delay_classifier(MODEL_FEATURES), M.with_class_weight(train))
     pred = model.transform(test.withColumn("is_delayed", delayed_flag(LABEL).cast("double")))
     return pred.agg(F.count(F.lit(1)).alias("n"),
                     F.avg((F.col("prediction") == F.col("is_delayed")).cast("double")).alias("accuracy"))

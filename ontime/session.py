@@ -26,6 +26,10 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a
+    # whole-stage method above that runs interpreted (7x slower on the wide
+    # cleaning projections), so fall back to per-operator codegen instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
