@@ -64,7 +64,8 @@ def rank_values(df: DataFrame, columns: list[str], targets: dict[str, callable],
     bounds = _bucket_bounds(vc, buckets)
     parts = []
     for c in columns:
-        splits = [-math.inf] + bounds.get(c, []) + [math.inf]
+        inner = bounds.get(c, []) or [0.0]  # Bucketizer needs at least one inner split
+        splits = [-math.inf] + inner + [math.inf]
         part = Bucketizer(splits=splits, inputCol="v", outputCol="bucket").transform(
             vc.filter(F.col("column") == F.lit(c)))
         parts.append(part)

@@ -661,13 +661,17 @@ def q_model_input(spark, d):
 
 @query("ridge_one_feature", with_ctes(
     "SELECT round(b, 6) AS coefficient, round(my - b * mx, 6) AS intercept FROM ("
-    "SELECT (k * r) / (k + 0.1 / sy) * sy / sx AS b, mx, my FROM ("
-    "SELECT corr(DepDelay, ArrDelay) AS r, STDDEV_SAMP(DepDelay) AS sx, STDDEV_SAMP(ArrDelay) AS sy, "
-    "AVG(DepDelay) AS mx, AVG(ArrDelay) AS my, (COUNT(*) - 1) / COUNT(*) AS k FROM tr))", "clean",
+    "SELECT (covar_pop(DepDelay, ArrDelay) / var_pop(DepDelay)) / (1 + 0.1 / stddev_pop(ArrDelay)) AS b, "
+    "AVG(DepDelay) AS mx, AVG(ArrDelay) AS my FROM tr)", "clean",
     extra="tr AS (SELECT TRY_CAST(DepDelay AS DOUBLE) AS DepDelay, ArrDelay FROM clean "
     f"WHERE Cancelled = 0 AND TRY_CAST(DepDelay AS DOUBLE) IS NOT NULL AND {HASH_KEY} >= {TEST_BOUND})"))
 def q_ridge_one_feature(spark, d):
-    """One-feature ridge (regParam 0.1) on the hash-train split vs. its closed form."""
+    """One-feature ridge (regParam 0.1) on the hash-train split vs. its closed form.
+
+    With standardisation Spark's normal solver minimises the squared error of
+    the standardised problem plus (lambda / std_pop(y)) * w^2 / 2, so the slope
+    is the OLS slope shrunk by 1 / (1 + lambda / std_pop(y)).
+    """
     df = C.cast_columns(clean(spark, d), {"DepDelay": "double"})
     df = C.not_cancelled(df).select(*KEYS, "DepDelay", "ArrDelay").dropna()
     train, _ = S.hash_split(df, 0.2, KEYS)
