@@ -180,6 +180,25 @@ def q_load_and_clean(spark, d):
     return C.cast_columns(df, FL_TYPES_EXTRA)
 
 
+@query("stream_ingest", with_ctes("SELECT * FROM fl_typed WHERE Year IS NOT NULL AND Month IS NOT NULL",
+                                  "fl_typed"))
+def q_stream_ingest(spark, d):
+    """The ETL step as a Structured Streaming query (CSV files -> partitioned Parquet)."""
+    from ontime.schema import raw_schema_typed
+    from ontime.streaming import ingest_stream, run_until_caught_up
+    from pyspark.sql import types as T
+
+    csv = _write_fl_csv(spark, d)
+    extra = [(c, t) for c, t in FL_TYPES_EXTRA.items()]
+    schema = raw_schema_typed(extra)
+    # The CSV columns come in the flight view's order; declare them in that order.
+    order = fl(spark, d).columns
+    schema = T.StructType([schema[c] for c in order])
+    out = scratch_path(spark, "ingested")
+    run_until_caught_up(ingest_stream(spark, csv, out, schema=schema))
+    return read_parquet(spark, out).select(*order)
+
+
 # ---------------------------------------------------------------- projection, filter, expressions
 
 @query("select_existing", with_ctes("SELECT Year, Month, ArrDelay, Distance FROM fl", "fl"))
