@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ontime.functions.expressions import is_missing, is_valid_number, pct, safe_corr
+from ontime.functions.expressions import is_missing, is_valid_number, pct
 from ontime.operators.quantiles import (
     quantiles_approx,
     quantiles_cont,
@@ -78,7 +78,8 @@ def tidy_profile(df: DataFrame, column: str, exact: bool = True, relative_error:
         q = quantiles_approx(df, [column], PROFILE_PROBS, relative_error)
     names = [PROFILE_QUANTILE_NAMES[p] for p in PROFILE_PROBS]
     qw = wide_quantiles(q, PROFILE_PROBS, names)
-    wide = summ.join(qw, "column", "left")
+    # Both sides hold one row per profiled column: a bounded broadcast.
+    wide = summ.join(F.broadcast(qw), "column", "left")
     wide = wide.withColumn("IQR (q3-q1)", F.col("`q3 (75%)`") - F.col("`q1 (25%)`"))
     order = {m: i for i, m in enumerate(PROFILE_ORDER)}
     structs = [F.struct(F.lit(order[m]).alias("ord"), F.lit(m).alias("metric"),
@@ -115,7 +116,7 @@ def five_number_summary(df: DataFrame, columns: list[str], exact: bool = True) -
     q = quantiles_disc(df, columns, probs) if exact else quantiles_approx(df, columns, probs)
     qw = wide_quantiles(q, probs, ["q25", "q50", "q75"])
     mm = numeric_summary(df, columns).select("column", "min", "max")
-    return mm.join(qw, "column", "left").select("column", "min", "q25", "q50", "q75", "max")
+    return mm.join(F.broadcast(qw), "column", "left").select("column", "min", "q25", "q50", "q75", "max")
 
 
 def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -123,7 +124,7 @@ def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     probs = [0.25, 0.5, 0.75]
     qw = wide_quantiles(quantiles_cont(df, columns, probs), probs, ["q25", "q50", "q75"])
     summ = numeric_summary(df, columns)
-    return summ.join(qw, "column", "left").select("column", "count", "mean", F.col("stddev").alias("std"),
+    return summ.join(F.broadcast(qw), "column", "left").select("column", "count", "mean", F.col("stddev").alias("std"),
                                                     "min", "q25", "q50", "q75", "max")
 
 
@@ -141,11 +142,8 @@ def correlation_matrix(df: DataFrame, columns: list[str], listwise: bool = True)
     """
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     if listwise:
-        cond = None
-        for c in columns:
-            v = is_valid_number(c)
-            cond = v if cond is None else cond & v
-        data = data.filter(cond)
+        # One AtLeastNNonNulls test (null or NaN) instead of 2k predicates.
+        data = data.na.drop(how="any")
     stats = data.agg(*[e for c in columns for e in (F.avg(c).alias(f"m{columns.index(c)}"),
                                                        F.min(c).alias(f"lo{columns.index(c)}"),
                                                        F.max(c).alias(f"hi{columns.index(c)}"))]).first()
