@@ -156,3 +156,12 @@ def test_numeric_summary_nan_is_missing(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
     r = P.numeric_summary(df, ["x"]).first()
     assert r["count"] == 2 and r["mean"] == 2.0 and not math.isnan(r["max"])
+
+
+def test_first_k_features_and_schema_frame(spark):
+    df = spark.createDataFrame([(1, 2.0, "x", 3, 4.0)], "a int, b double, s string, c int, ArrDelay double")
+    assert C.first_k_features(df, k=2) == ["a", "b"]
+    assert C.first_k_features(df, k=8) == ["a", "b", "c"]
+    sch = {r["column"]: r["type"] for r in C.describe_schema(df).collect()}
+    assert sch == {"a": "int", "b": "double", "s": "string", "c": "int", "ArrDelay": "double"}
+    assert C.numeric_columns(df, wanted=["s", "b", "zz"]) == ["b"]

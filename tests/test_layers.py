@@ -117,3 +117,22 @@ def test_persisted_releases_and_checkpoint(spark):
     assert not df.is_cached
     cut = cut_lineage(df.select("ArrDelay"))
     assert cut.count() == df.count()
+
+
+def test_merge_schema_reads_all_footers(spark):
+    base = scratch_path(spark, "merge")
+    features(spark, SF).select("Year", "ArrDelay").write.parquet(f"{base}/part=1")
+    features(spark, SF).select("Year", "DepDelay").write.parquet(f"{base}/part=2")
+    merged = read_parquet(spark, base, merge_schema=True)
+    assert {"Year", "ArrDelay", "DepDelay", "part"} <= set(merged.columns)
+
+
+def test_refresh_sees_new_files(spark):
+    path = scratch_path(spark, "refresh")
+    df = features(spark, SF)
+    write_layer(df, path)
+    t = K.register_external(spark, "test_refresh", path)
+    n = t.count()
+    df.write.mode("append").parquet(path)
+    K.refresh(spark, "test_refresh")
+    assert spark.table("test_refresh").count() == 2 * n
