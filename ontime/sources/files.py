@@ -58,11 +58,20 @@ def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False) -
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when the path can be listed as a data source.
+    """True when the path exists on its file system.
 
-    Uses the file index of a Parquet relation, which lists the directory but
-    reads no data; any other analysis error is re-raised.
+    One metadata call through the Hadoop ``FileSystem`` of the path (as the
+    reference did); a session without JVM access (Spark Connect) falls back
+    to resolving the path as a data source, which lists the folder but reads
+    no data.
     """
+    try:
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(jpath))
+    except (AttributeError, TypeError):
+        pass
     try:
         spark.read.format("binaryFile").load(path).schema  # noqa: B018 - listing only
         return True

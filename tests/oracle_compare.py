@@ -9,6 +9,7 @@ mismatch, while any real difference is.
 from __future__ import annotations
 
 import math
+import os
 from collections import Counter
 
 import duckdb
@@ -24,13 +25,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
         if v == 0:
             return 0.0
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
