@@ -5,7 +5,9 @@ aggregation buffer, so a single task holds the whole column.  The exact path
 here never does that:
 
 1. value counts ``(column, v) -> n`` (partial aggregation before the shuffle,
-   so a value that holds a third of the rows is one row afterwards);
+   so a value that holds a third of the rows is one row afterwards), kept
+   (memory, spilling to disk) for the duration of the step so the source is
+   scanned once;
 2. approximate bucket bounds over the distinct values (one small job, at most
    ``buckets`` doubles per column come back to the driver);
 3. per-bucket totals and their running sum (``buckets`` rows per column);
@@ -14,7 +16,9 @@ here never does that:
 
 The answer is the smallest value whose cumulative count reaches the target
 rank, which is the SQL ``percentile_disc`` definition; ``percentile_cont``
-interpolates between two such ranks.  The approximate path is one
+interpolates between two such ranks.  The step is eager (like
+``approxQuantile``): it returns its few result rows (columns x targets) as a
+small DataFrame and releases the cached counts.  The approximate path is one
 ``percentile_approx`` aggregate and is what a profile uses by default at scale.
 """
 
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,20 +65,31 @@ def rank_values(df: DataFrame, columns: list[str], targets: dict[str, callable],
     count (a Column) returning the target rank as a double.  Output: one row
     per column with ``total_n`` and one column per target.
     """
-    vc = value_counts(df, columns)
-    bounds = _bucket_bounds(vc, buckets)
-    parts = []
-    for c in columns:
-        inner = bounds.get(c, []) or [0.0]  # Bucketizer needs at least one inner split
-        splits = [-math.inf] + inner + [math.inf]
-        part = Bucketizer(splits=splits, inputCol="v", outputCol="bucket").transform(
-            vc.filter(F.col("column") == F.lit(c)))
-        parts.append(part)
-    if not parts:
+    if not columns:
         raise ValueError("no columns")
-    vcb = parts[0]
-    for p in parts[1:]:
-        vcb = vcb.unionByName(p)
+    vc = value_counts(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = _rank_plan(vc, columns, targets, _bucket_bounds(vc, buckets)).collect()
+    finally:
+        vc.unpersist()
+    schema = "column string, total_n bigint, " + ", ".join(f"`{k}` double" for k in targets)
+    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+
+
+def _rank_plan(vc: DataFrame, columns: list[str], targets: dict[str, callable],
+               bounds: dict[str, list[float]]) -> DataFrame:
+    # One multi-column Bucketizer over the value counts: each row is bucketed
+    # against its own column's splits (no per-column filter or union).
+    splits = [[-math.inf] + (bounds.get(c, []) or [0.0]) + [math.inf] for c in columns]
+    ins = [f"_v{i}" for i in range(len(columns))]
+    outs = [f"_b{i}" for i in range(len(columns))]
+    wide = vc.withColumns({ins[i]: F.when(F.col("column") == F.lit(c), F.col("v")).otherwise(F.lit(0.0))
+                           for i, c in enumerate(columns)})
+    bucketed = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs).transform(wide)
+    bucket = F.lit(None).cast("double")
+    for i, c in enumerate(columns):
+        bucket = F.when(F.col("column") == F.lit(c), F.col(outs[i])).otherwise(bucket)
+    vcb = bucketed.select("column", "v", "n", bucket.alias("bucket"))
 
     by_col = Window.partitionBy("column")
     running = by_col.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
