@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
@@ -199,6 +200,24 @@ def score_rows(model: PipelineModel, df: DataFrame, label: str = LABEL, keep: li
     return model.transform(df).select(*(keep or []), label, "prediction")
 
 
+def fit_persisted(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit with the train set cached (memory, spilling to disk) and released after.
+
+    Estimators pass over their input many times (a forest once per tree
+    level).  A train set with fewer partitions than the cluster has cores is
+    spread first, otherwise every pass runs on that many cores; on large
+    inputs (more partitions than cores) nothing is reshuffled.
+    """
+    target = train.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < target:
+        train = train.repartition(target)
+    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(cached)
+    finally:
+        cached.unpersist()
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     """Persist a fitted pipeline to shared storage."""
     model.write().overwrite().save(path)

@@ -35,7 +35,7 @@ from ontime.session import scratch_path
 from ontime.sources.catalog import Candidate, load_first, register_external
 from ontime.sources.files import read_csv_raw, read_csv_typed, read_parquet
 from ontime.sources.fixture import flights, flights_from_lineitem, read_table, table_path
-from ontime.sources.sinks import persisted, write_layer
+from ontime.sources.sinks import write_layer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -728,8 +728,7 @@ def _train_test(spark, d):
 
 def _fit(pipeline, train):
     """Fit on a persisted train set: the estimators make several passes."""
-    with persisted(train) as t:
-        return pipeline.fit(t)
+    return M.fit_persisted(pipeline, train)
 
 
 @query("linear_regression")
@@ -763,9 +762,8 @@ def q_score_rows(spark, d):
 @query("model_comparison")
 def q_model_comparison(spark, d):
     train, test = _train_test(spark, d)
-    with persisted(train) as t:
-        models = {"linear_regression": M.linear_regression(MODEL_FEATURES).fit(t),
-                  "random_forest": M.random_forest(MODEL_FEATURES, num_trees=20, max_depth=6).fit(t)}
+    models = {"linear_regression": _fit(M.linear_regression(MODEL_FEATURES), train),
+              "random_forest": _fit(M.random_forest(MODEL_FEATURES, num_trees=20, max_depth=6), train)}
     return M.compare_models(models, test)
 
 
