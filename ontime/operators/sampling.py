@@ -45,14 +45,30 @@ def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[Da
     return df.randomSplit(weights, seed=seed)
 
 
-def sample_exact_n(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows chosen by key hash (O8); a sampling operator.
-
-    Ties in the hash are broken by every column, so the result does not
-    depend on row order.  Planned as a top-k (each task keeps ``n`` rows).
+def sample_exact_n(df: DataFrame, n: int, keys: list[str], oversample: float = 2.0) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows with the smallest key hashes (O8); a sampling operator.
+
+    A plain ``orderBy(...).limit(n)`` makes every task send its own top ``n``
+    rows to one merging task (tasks x n rows).  Instead the rows whose hash is
+    below a bound chosen for about ``oversample * n`` candidates are kept (the
+    bound doubles until at least ``n`` qualify), and the top ``n`` is taken
+    among those: every row outside the bound hashes higher than every
+    candidate, so the result is the same, while the final merge sees about
+    ``2n`` rows.  Ties in the hash are broken by every column, so the result
+    does not depend on row order.  Costs two counting passes.
     """
-    order = [hash_unit(*keys)] + [F.col(c) for c in df.columns]
-    return df.orderBy(*order).limit(n)
+    h = hash_unit(*keys)
+    order = [h] + [F.col(c) for c in df.columns]
+    total = df.count()
+    if total <= n:
+        return df.orderBy(*order)
+    frac = min(1.0, oversample * n / total)
+    while True:
+        cand = df if frac >= 1.0 else df.filter(h < F.lit(int(frac * (1 << 32))))
+        if frac >= 1.0 or cand.count() >= n:
+            break
+        frac = min(1.0, frac * 2.0)
+    return cand.orderBy(*order).limit(n)
 
 
 def sample_or_limit(df: DataFrame, fraction: float = 0.0005, max_rows: int = 3000, seed: int = 42,
