@@ -20,7 +20,6 @@ from ontime.functions.expressions import (
     delayed_flag,
     hhmm_hour,
     minutes_of_day,
-    to_double,
 )
 from ontime.operators import cleaning as C
 from ontime.operators import ml as M
@@ -82,8 +81,6 @@ def r6(c, n: int = 6):
     return F.round(F.col(c) if isinstance(c, str) else c, n)
 
 
-FEATURE_LIST = ", ".join(FEATURE_COLUMNS)
-
 # ---------------------------------------------------------------- sources and sinks
 
 
@@ -616,10 +613,17 @@ def q_sample_escalate(spark, d):
     return s if s is not None else clean(spark, d).limit(0)
 
 
-@query("limit_preview")
+CLEAN_COLS = ["Year", "Month", "DayofMonth", "DayOfWeek", "DepTime", "CRSDepTime", "ArrTime", "CRSArrTime",
+              "DepDelay", "ArrDelay", "Distance", "Cancelled", "TaxiIn", "TaxiOut", "UniqueCarrier", "Origin"]
+
+
+@query("limit_preview", with_ctes(
+    "SELECT * FROM clean ORDER BY l_orderkey, l_linenumber, "
+    + ", ".join(f"{c} NULLS FIRST" for c in CLEAN_COLS) + " LIMIT 5", "clean"))
 def q_limit_preview(spark, d):
-    """``SELECT * ... LIMIT 5`` preview, ordered so it is reproducible."""
-    return clean(spark, d).orderBy(*KEYS).limit(5)
+    """``SELECT * ... LIMIT 5`` preview (S6, O2), ordered by key and then every
+    column so it is reproducible; planned as a top-k."""
+    return clean(spark, d).orderBy(*KEYS, *CLEAN_COLS).limit(5)
 
 
 # ---------------------------------------------------------------- features and models
