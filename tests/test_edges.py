@@ -165,3 +165,20 @@ def test_first_k_features_and_schema_frame(spark):
     sch = {r["column"]: r["type"] for r in C.describe_schema(df).collect()}
     assert sch == {"a": "int", "b": "double", "s": "string", "c": "int", "ArrDelay": "double"}
     assert C.numeric_columns(df, wanted=["s", "b", "zz"]) == ["b"]
+
+
+def test_correlation_engines_agree_and_degenerate_inputs(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 1.0, 5.0), (4.0, 9.0, 5.0), (3.0, None, 5.0)],
+                               "a double, b double, c double")
+    ml = {(r["col_x"], r["col_y"]): r["r"] for r in
+          P.correlation_matrix(df, ["a", "b", "c"], engine="ml").collect()}
+    sql = {(r["col_x"], r["col_y"]): r["r"] for r in P.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    assert ml.keys() == sql.keys()
+    for k in [("a", "b"), ("b", "a"), ("a", "a"), ("b", "b")]:
+        assert ml[k] == pytest.approx(sql[k], abs=1e-12)
+    assert ml[("a", "c")] is None and sql[("a", "c")] is None and sql[("c", "c")] is None
+    one = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    empty = spark.createDataFrame([], "a double, b double")
+    for engine in ("sql", "ml"):
+        assert all(r["r"] is None for r in P.correlation_matrix(one, ["a", "b"], engine=engine).collect())
+        assert all(r["r"] is None for r in P.correlation_matrix(empty, ["a", "b"], engine=engine).collect())
