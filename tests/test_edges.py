@@ -182,3 +182,10 @@ def test_correlation_engines_agree_and_degenerate_inputs(spark):
     for engine in ("sql", "ml"):
         assert all(r["r"] is None for r in P.correlation_matrix(one, ["a", "b"], engine=engine).collect())
         assert all(r["r"] is None for r in P.correlation_matrix(empty, ["a", "b"], engine=engine).collect())
+
+
+def test_kde_binned_close_to_exact(spark):
+    df = spark.createDataFrame([(float(i) * 0.37 % 11.0,) for i in range(500)], "x double")
+    exact = [r["density"] for r in P.kde_grid(df, "x", gridsize=50).collect()]
+    binned = [r["density"] for r in P.kde_grid(df, "x", gridsize=50, bins=2000).collect()]
+    assert max(abs(a - b) for a, b in zip(exact, binned)) < 1e-3 * max(exact)
