@@ -44,10 +44,20 @@ def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    return long_values(df, columns).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    """``(column, v) -> n`` with ``column`` as the int position in ``columns``.
+
+    An int key keeps the shuffled and cached rows small; names come back only
+    on the final, tiny result.
+    """
+    idx = [str(i) for i in range(len(columns))]
+    wide = df.select(*[F.col(c).cast("double").alias(i) for c, i in zip(columns, idx)])
+    long = (wide.unpivot([], idx, "column", "v")
+                .select(F.col("column").cast("int").alias("column"), "v")
+                .filter(is_valid_number("v")))
+    return long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _bucket_bounds(vc: DataFrame, buckets: int) -> dict[str, list[float]]:
+def _bucket_bounds(vc: DataFrame, buckets: int) -> dict[int, list[float]]:
     probs = [i / buckets for i in range(1, buckets)]
     acc = max(10_000, 4 * buckets)
     rows = (vc.groupBy("column")
@@ -73,22 +83,23 @@ def rank_values(df: DataFrame, columns: list[str], targets: dict[str, callable],
     finally:
         vc.unpersist()
     schema = "column string, total_n bigint, " + ", ".join(f"`{k}` double" for k in targets)
-    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
+    named = [(columns[r[0]],) + tuple(r)[1:] for r in rows]
+    return df.sparkSession.createDataFrame(named, schema)
 
 
 def _rank_plan(vc: DataFrame, columns: list[str], targets: dict[str, callable],
-               bounds: dict[str, list[float]]) -> DataFrame:
+               bounds: dict[int, list[float]]) -> DataFrame:
     # One multi-column Bucketizer over the value counts: each row is bucketed
     # against its own column's splits (no per-column filter or union).
-    splits = [[-math.inf] + (bounds.get(c, []) or [0.0]) + [math.inf] for c in columns]
+    splits = [[-math.inf] + (bounds.get(i, []) or [0.0]) + [math.inf] for i in range(len(columns))]
     ins = [f"_v{i}" for i in range(len(columns))]
     outs = [f"_b{i}" for i in range(len(columns))]
-    wide = vc.withColumns({ins[i]: F.when(F.col("column") == F.lit(c), F.col("v")).otherwise(F.lit(0.0))
-                           for i, c in enumerate(columns)})
+    wide = vc.withColumns({ins[i]: F.when(F.col("column") == F.lit(i), F.col("v")).otherwise(F.lit(0.0))
+                           for i in range(len(columns))})
     bucketed = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs).transform(wide)
     bucket = F.lit(None).cast("double")
-    for i, c in enumerate(columns):
-        bucket = F.when(F.col("column") == F.lit(c), F.col(outs[i])).otherwise(bucket)
+    for i in range(len(columns)):
+        bucket = F.when(F.col("column") == F.lit(i), F.col(outs[i])).otherwise(bucket)
     vcb = bucketed.select("column", "v", "n", bucket.alias("bucket"))
 
     by_col = Window.partitionBy("column")
