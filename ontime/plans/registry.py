@@ -9,10 +9,12 @@ in which case only its row count is checked.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ontime.functions.expressions import (
     cyclical,
@@ -28,13 +30,21 @@ from ontime.operators import quantiles as Q
 from ontime.operators import rates as R
 from ontime.operators import sampling as S
 from ontime.plans.oracle import HASH_KEY, TEST_BOUND, with_ctes
-from ontime.plans.stages import transformed_layer
-from ontime.schema import FEATURE_COLUMNS, LABEL, MODEL_FEATURES, PARTITION_KEYS, TRANSFORM_NUMERICS
+from ontime.plans.stages import load_and_clean, transformed_layer
+from ontime.schema import (
+    FEATURE_COLUMNS,
+    LABEL,
+    MODEL_FEATURES,
+    PARTITION_KEYS,
+    TRANSFORM_NUMERICS,
+    raw_schema_typed,
+)
 from ontime.session import scratch_path
 from ontime.sources.catalog import Candidate, load_first, register_external
 from ontime.sources.files import read_csv_raw, read_csv_typed, read_parquet
 from ontime.sources.fixture import flights, flights_from_lineitem, read_table, table_path
 from ontime.sources.sinks import write_layer
+from ontime.streaming import ingest_stream, run_until_caught_up
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -128,7 +138,6 @@ def q_parquet_roundtrip_flat(spark, d):
 
 
 def _table_name(prefix: str) -> str:
-    import uuid
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
 
 
@@ -168,7 +177,6 @@ def q_load_first_source(spark, d):
 @query("load_and_clean", with_ctes(
     "SELECT * FROM fl_typed WHERE ArrDelay IS NOT NULL AND NOT isnan(ArrDelay)", "fl_typed"))
 def q_load_and_clean(spark, d):
-    from ontime.plans.stages import load_and_clean
     csv = _write_fl_csv(spark, d)
     df, _ = load_and_clean(spark, [Candidate("table", "default.no_such_flights_table"),
                                    Candidate("parquet", scratch_path(spark, "not-written")),
@@ -181,10 +189,6 @@ def q_load_and_clean(spark, d):
                                   "fl_typed"))
 def q_stream_ingest(spark, d):
     """The ETL step as a Structured Streaming query (CSV files -> partitioned Parquet)."""
-    from ontime.schema import raw_schema_typed
-    from ontime.streaming import ingest_stream, run_until_caught_up
-    from pyspark.sql import types as T
-
     csv = _write_fl_csv(spark, d)
     extra = [(c, t) for c, t in FL_TYPES_EXTRA.items()]
     schema = raw_schema_typed(extra)

@@ -47,8 +47,24 @@ RAW_COLUMNS = [
 ]
 
 
+# Type names used in the specs above.
+_TYPES = {
+    "int": T.IntegerType(), "bigint": T.LongType(), "smallint": T.ShortType(), "tinyint": T.ByteType(),
+    "double": T.DoubleType(), "float": T.FloatType(), "string": T.StringType(), "boolean": T.BooleanType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(),
+}
+
+
+def data_type(name: str) -> T.DataType:
+    """DataType for a simple type name (``int``, ``double``, ``string`` ...)."""
+    try:
+        return _TYPES[name.lower()]
+    except KeyError:
+        raise ValueError(f"unsupported type name {name!r}") from None
+
+
 def _struct(spec: list[tuple[str, str]]) -> T.StructType:
-    return T.StructType([T.StructField(n, T._parse_datatype_string(t), True) for n, t in spec])
+    return T.StructType([T.StructField(n, data_type(t), True) for n, t in spec])
 
 
 def feature_schema() -> T.StructType:

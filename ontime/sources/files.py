@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ontime.schema import raw_schema_typed
+from ontime.schema import data_type, raw_schema_typed
 
 # Text tokens the flight CSVs use for a missing number.
 DEFAULT_NULL_TOKEN = "NA"
@@ -45,7 +45,7 @@ def _header_schema(spark: SparkSession, path: str, sep: str,
     """
     header = spark.read.option("header", "true").option("sep", sep).csv(path).columns
     known = {f.name: f.dataType for f in raw_schema_typed().fields}
-    known.update({c: T._parse_datatype_string(t) for c, t in (types or {}).items()})
+    known.update({c: data_type(t) for c, t in (types or {}).items()})
     return T.StructType([T.StructField(c, known.get(c, T.StringType()), True) for c in header])
 
 
