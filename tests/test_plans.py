@@ -51,3 +51,15 @@ def test_whole_stage_codegen_for_rates(spark):
 def test_top_k_is_take_ordered(spark):
     plan = I.physical_section(R.top_by_rate(clean(spark, SF), "Month", 6))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    """A key holding a third of the rows: every grouped report aggregates map-side first."""
+    rows = [(1, 1.0)] * 300 + [(k % 12 + 2, float(k % 40)) for k in range(600)]
+    df = spark.createDataFrame(rows, "Month int, ArrDelay double")
+    for q in (R.rate_by(df, ["Month"]), R.bucket_summary(df), P.missing_report(df),
+              R.rate_grouping_sets(df, ["Month"])):
+        plan = I.physical_section(q)
+        assert "partial_" in plan, plan
+    got = {r["Month"]: r["n"] for r in R.rate_by(df, ["Month"]).collect()}
+    assert got[1] == 300 + sum(1 for k in range(600) if k % 12 + 2 == 1)
