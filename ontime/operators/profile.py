@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 
 from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
 from pyspark.errors import IllegalArgumentException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
@@ -23,6 +24,8 @@ from ontime.operators.quantiles import (
     quantiles_approx,
     quantiles_cont,
     quantiles_disc,
+    summary_from_counts,
+    value_counts,
     wide_quantiles,
 )
 
@@ -72,19 +75,34 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
 def tidy_profile(df: DataFrame, column: str, exact: bool = True, relative_error: float = 0.001) -> DataFrame:
     """The 13-metric (metric, value) table of one column in a fixed order.
 
-    ``exact=False`` computes the quantiles approximately and everything in
-    one aggregate; ``exact=True`` adds the distributed exact quantile step.
+    ``exact=True``: one scan of the source builds the value counts (cached
+    for the step); the summary and the exact quantiles are both computed from
+    them, and the 13 rows are returned.  ``exact=False``: everything in one
+    aggregate with approximate quantiles, lazily.
     """
-    summ = numeric_summary(df, [column])
-    if exact:
-        q = quantiles_disc(df, [column], PROFILE_PROBS)
-    else:
-        q = quantiles_approx(df, [column], PROFILE_PROBS, relative_error)
     names = [PROFILE_QUANTILE_NAMES[p] for p in PROFILE_PROBS]
+    if exact:
+        vc = value_counts(df, [column]).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            summ = summary_from_counts(vc, [column])
+            q = quantiles_disc(df, [column], PROFILE_PROBS, counts=vc)
+            qw = wide_quantiles(q, PROFILE_PROBS, names)
+            wide = summ.join(qw, "column", "left")
+            wide = wide.withColumn("IQR (q3-q1)", F.col("`q3 (75%)`") - F.col("`q1 (25%)`"))
+            rows = _tidy_rows(wide).collect()
+        finally:
+            vc.unpersist()
+        return df.sparkSession.createDataFrame([tuple(r) for r in rows], "ord int, metric string, value double")
+    summ = numeric_summary(df, [column])
+    q = quantiles_approx(df, [column], PROFILE_PROBS, relative_error)
     qw = wide_quantiles(q, PROFILE_PROBS, names)
     # Both sides hold one row per profiled column: a bounded broadcast.
     wide = summ.join(F.broadcast(qw), "column", "left")
     wide = wide.withColumn("IQR (q3-q1)", F.col("`q3 (75%)`") - F.col("`q1 (25%)`"))
+    return _tidy_rows(wide)
+
+
+def _tidy_rows(wide: DataFrame) -> DataFrame:
     order = {m: i for i, m in enumerate(PROFILE_ORDER)}
     structs = [F.struct(F.lit(order[m]).alias("ord"), F.lit(m).alias("metric"),
                         F.col(f"`{m}`").cast("double").alias("value")) for m in PROFILE_ORDER]

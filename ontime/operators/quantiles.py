@@ -79,12 +79,48 @@ def rank_values(df: DataFrame, columns: list[str], targets: dict[str, callable],
         raise ValueError("no columns")
     vc = value_counts(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = _rank_plan(vc, columns, targets, _bucket_bounds(vc, buckets)).collect()
+        return rank_values_from_counts(vc, columns, targets, buckets)
     finally:
         vc.unpersist()
+
+
+def rank_values_from_counts(vc: DataFrame, columns: list[str], targets: dict[str, callable],
+                            buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """``rank_values`` over already computed (and ideally cached) value counts."""
+    rows = _rank_plan(vc, columns, targets, _bucket_bounds(vc, buckets)).collect()
     schema = "column string, total_n bigint, " + ", ".join(f"`{k}` double" for k in targets)
     named = [(columns[r[0]],) + tuple(r)[1:] for r in rows]
-    return df.sparkSession.createDataFrame(named, schema)
+    return vc.sparkSession.createDataFrame(named, schema)
+
+
+def summary_from_counts(vc: DataFrame, columns: list[str]) -> DataFrame:
+    """count, mean, sample stddev, min, max per column from value counts (eager, k rows).
+
+    The mean is the count-weighted sum; the variance is a second pass of
+    count-weighted squared deviations from it (two-pass, stable).  Both passes
+    read the value counts, not the source.
+    """
+    first = (vc.groupBy("column")
+               .agg(F.sum("n").alias("count"), F.sum(F.col("n") * F.col("v")).alias("sv"),
+                    F.min("v").alias("min"), F.max("v").alias("max"))
+               .withColumn("mean", F.col("sv") / F.col("count")))
+    means = {r["column"]: r for r in first.collect()}
+    dev = F.col("v")
+    for i, r in means.items():
+        dev = F.when(F.col("column") == F.lit(i), F.col("v") - F.lit(r["mean"])).otherwise(dev)
+    ss = {r["column"]: r["ss"] for r in
+          vc.groupBy("column").agg(F.sum(F.col("n") * dev * dev).alias("ss")).collect()}
+    out = []
+    for i, c in enumerate(columns):
+        r = means.get(i)
+        if r is None:
+            out.append((c, 0, None, None, None, None))
+            continue
+        n = r["count"]
+        sd = math.sqrt(ss[i] / (n - 1)) if n > 1 else None
+        out.append((c, n, r["mean"], sd, r["min"], r["max"]))
+    return vc.sparkSession.createDataFrame(
+        out, "column string, count bigint, mean double, stddev double, min double, max double")
 
 
 def _rank_plan(vc: DataFrame, columns: list[str], targets: dict[str, callable],
@@ -131,10 +167,17 @@ def _pname(p: float) -> str:
 
 
 def quantiles_disc(df: DataFrame, columns: list[str], probs: list[float],
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Exact ``percentile_disc``; long form ``(column, probability, value)``."""
+                   buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
+    """Exact ``percentile_disc``; long form ``(column, probability, value)``.
+
+    ``counts``: value counts already computed by ``value_counts`` (cached by
+    the caller), so several statistics can share one source scan.
+    """
     targets = {_pname(p): (lambda N, p=p: N.cast("double") * F.lit(float(p))) for p in probs}
-    wide = rank_values(df, columns, targets, buckets)
+    if counts is not None:
+        wide = rank_values_from_counts(counts, columns, targets, buckets)
+    else:
+        wide = rank_values(df, columns, targets, buckets)
     st = F.array(*[F.struct(F.lit(float(p)).alias("probability"), F.col(_pname(p)).alias("value")) for p in probs])
     return wide.select("column", F.inline(st))
 
