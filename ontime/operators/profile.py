@@ -133,21 +133,42 @@ def missing_report(df: DataFrame, columns: list[str] | None = None,
 
 
 def five_number_summary(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
-    """min, 25 %, 50 %, 75 %, max per column with numeric types."""
+    """min, 25 %, 50 %, 75 %, max per column with numeric types.
+
+    ``exact=True`` computes everything from one cached value-count scan.
+    """
     probs = [0.25, 0.5, 0.75]
-    q = quantiles_disc(df, columns, probs) if exact else quantiles_approx(df, columns, probs)
-    qw = wide_quantiles(q, probs, ["q25", "q50", "q75"])
-    mm = numeric_summary(df, columns).select("column", "min", "max")
-    return mm.join(F.broadcast(qw), "column", "left").select("column", "min", "q25", "q50", "q75", "max")
+    if not exact:
+        qw = wide_quantiles(quantiles_approx(df, columns, probs), probs, ["q25", "q50", "q75"])
+        mm = numeric_summary(df, columns).select("column", "min", "max")
+        return mm.join(F.broadcast(qw), "column", "left").select("column", "min", "q25", "q50", "q75", "max")
+    return _from_counts(df, columns, lambda vc: quantiles_disc(df, columns, probs, counts=vc), probs,
+                        ["column", "min", "q25", "q50", "q75", "max"])
 
 
 def describe_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """pandas-style describe: count, mean, std, min, quartiles (interpolated), max."""
+    """pandas-style describe: count, mean, std, min, quartiles (interpolated), max.
+
+    One cached value-count scan feeds both the moments and the quartiles.
+    """
     probs = [0.25, 0.5, 0.75]
-    qw = wide_quantiles(quantiles_cont(df, columns, probs), probs, ["q25", "q50", "q75"])
-    summ = numeric_summary(df, columns)
-    return summ.join(F.broadcast(qw), "column", "left").select("column", "count", "mean", F.col("stddev").alias("std"),
-                                                    "min", "q25", "q50", "q75", "max")
+    return _from_counts(df, columns, lambda vc: quantiles_cont(df, columns, probs, counts=vc), probs,
+                        ["column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"])
+
+
+def _from_counts(df: DataFrame, columns: list[str], quantile_fn, probs: list[float],
+                 select: list[str]) -> DataFrame:
+    """Summary + quantiles from one cached value-count scan; returns the k result rows."""
+    vc = value_counts(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        summ = summary_from_counts(vc, columns).withColumnRenamed("stddev", "std")
+        qw = wide_quantiles(quantile_fn(vc), probs, ["q25", "q50", "q75"])
+        rows = summ.join(qw, "column", "left").select(*select).collect()
+    finally:
+        vc.unpersist()
+    schema = ", ".join(f"`{c}` {'string' if c == 'column' else 'bigint' if c == 'count' else 'double'}"
+                       for c in select)
+    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
 
 
 def correlation_matrix(df: DataFrame, columns: list[str], listwise: bool = True,

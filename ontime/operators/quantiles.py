@@ -183,14 +183,20 @@ def quantiles_disc(df: DataFrame, columns: list[str], probs: list[float],
 
 
 def quantiles_cont(df: DataFrame, columns: list[str], probs: list[float],
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Exact ``percentile_cont`` (linear interpolation, as pandas ``quantile``)."""
+                   buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
+    """Exact ``percentile_cont`` (linear interpolation, as pandas ``quantile``).
+
+    ``counts``: precomputed value counts, as for ``quantiles_disc``.
+    """
     targets = {}
     for p in probs:
         rn = lambda N, p=p: (N.cast("double") - 1.0) * F.lit(float(p))
         targets[_pname(p) + "_lo"] = lambda N, rn=rn: F.floor(rn(N)) + 1.0
         targets[_pname(p) + "_hi"] = lambda N, rn=rn: F.ceil(rn(N)) + 1.0
-    wide = rank_values(df, columns, targets, buckets)
+    if counts is not None:
+        wide = rank_values_from_counts(counts, columns, targets, buckets)
+    else:
+        wide = rank_values(df, columns, targets, buckets)
     structs = []
     for p in probs:
         rn = (F.col("total_n").cast("double") - 1.0) * F.lit(float(p))
