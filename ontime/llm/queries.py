@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ontime.llm.bin_completion import pack_documents
+from ontime.llm.cgk_decontam import contaminated
 from ontime.llm.common import read
 from ontime.llm.exact_runs import exact_dedup
 from ontime.llm.simhash_trie import near_duplicates
@@ -36,3 +38,20 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), keep_largest=True)
+
+
+def word_tokenizer() -> str:
+    """Path of the public word-level BPE vocabulary the packing contract names."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op9_bin_completion")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), word_tokenizer())
+
+
+@query("op10_cgk_decontam")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
