@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ontime.llm.bin_completion import pack_documents
 from ontime.llm.cgk_decontam import contaminated
 from ontime.llm.common import read
 from ontime.llm.exact_runs import exact_dedup
 from ontime.llm.simhash_trie import near_duplicates
+from ontime.llm.toxic_segments import THRESHOLD, fit, score
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,6 +42,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), keep_largest=True)
 
 
+@query("op7_toxic_segments")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = read(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 3
+    model = fit(docs, read(spark, sf_dir, "labels"), training=fold != 1)
+    return score(docs, model).select(
+        "doc_id", (fold == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        F.size("passages").cast("long").alias("n_passages"))
+
+
 def word_tokenizer() -> str:
     """Path of the public word-level BPE vocabulary the packing contract names."""
     import public_tokenizers
