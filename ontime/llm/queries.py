@@ -11,6 +11,8 @@ from ontime.llm.bin_completion import pack_documents
 from ontime.llm.cgk_decontam import contaminated
 from ontime.llm.common import read
 from ontime.llm.exact_runs import exact_dedup
+from ontime.llm.secret_scan import KINDS, scan, spans_text
+from ontime.llm.secret_scan import ORACLE_SQL as SECRETS_SQL
 from ontime.llm.simhash_trie import near_duplicates
 from ontime.llm.toxic_segments import THRESHOLD, fit, score
 
@@ -42,6 +44,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), keep_largest=True)
 
 
+@query("op6_secret_scan", SECRETS_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("spans", lambda s: s["kind"].isin(KINDS[:3]))
+    return scan(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(spans_text(base), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"))
+
+
 @query("op7_toxic_segments")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, fold = read(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 3
