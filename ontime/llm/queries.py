@@ -14,6 +14,7 @@ from ontime.llm.exact_runs import exact_dedup
 from ontime.llm.secret_scan import KINDS, scan, spans_text
 from ontime.llm.secret_scan import ORACLE_SQL as SECRETS_SQL
 from ontime.llm.simhash_trie import near_duplicates
+from ontime.llm.suffix_tree_lm import score as lm_score
 from ontime.llm.toxic_segments import THRESHOLD, fit, score
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +62,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("passages").cast("long").alias("n_passages"))
 
 
+@query("op8_suffix_tree_lm")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string")) % 7
+    found = lm_score(read(spark, sf_dir, "documents"), training=fold != 2)
+    return found.select("doc_id", (fold == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                        "score")
+
+
 def word_tokenizer() -> str:
     """Path of the public word-level BPE vocabulary the packing contract names."""
     import public_tokenizers
