@@ -11,10 +11,12 @@ from ontime.llm.bin_completion import pack_documents
 from ontime.llm.cgk_decontam import contaminated
 from ontime.llm.common import read
 from ontime.llm.exact_runs import exact_dedup
+from ontime.llm.html_blocks import extract
 from ontime.llm.secret_scan import KINDS, scan, spans_text
 from ontime.llm.secret_scan import ORACLE_SQL as SECRETS_SQL
 from ontime.llm.simhash_trie import near_duplicates
 from ontime.llm.suffix_tree_lm import score as lm_score
+from ontime.llm.token_trie import token_counts
 from ontime.llm.toxic_segments import THRESHOLD, fit, score
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +33,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_html_blocks")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 @query("op2_simhash_trie")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
@@ -45,6 +52,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), keep_largest=True)
 
 
+@query("op5_token_trie")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op6_secret_scan", SECRETS_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(KINDS[:3]))
