@@ -105,6 +105,14 @@ LABELLED = [
      back to the one before this one.</nav><p>The third one is the last of the long ones and closes what was opened
      above.</p><aside><p>By the way.</p></aside><form><p>Send.</p></form><footer>Last changed on a Sunday.</footer>
      <p>Fin.</p></main>""", "TTBTBBBT"),
+    ("""<div><a href=/>Home</a> <a href=/n>News</a> <a href=/s>Sport and games</a></div><div><p>A page of nothing but plain
+     divisions tells its story in paragraphs such as this one, which has no link at all.</p><p>It was short.</p><p>The
+     next one has <a href=/l>a link</a> somewhere in the middle of its words, as texts often do.</p></div><div>
+     <a href=/o>Older stories from last year</a></div><div><a href=/a>About</a> | <a href=/c>Contact us</a></div>""",
+     "BTTTBB"),
+    ("""<table><tr><td><a href=/1>Index of all pages</a></td><td><a href=/2>Map</a></td></tr></table><p>Old pages used tables
+     for their menus and then plain paragraphs for what they had to say to their readers.</p><p>Like so.</p><center>
+     <a href=/b>Back to the top</a></center>""", "BBTTB"),
 ]
 
 
