@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from ontime.llm.bin_completion import pack_documents
 from ontime.llm.cgk_decontam import contaminated
 from ontime.llm.common import read
 from ontime.llm.exact_runs import exact_dedup
+from ontime.llm.fuzzy_lines import dedup_lines
 from ontime.llm.html_blocks import extract
 from ontime.llm.secret_scan import KINDS, scan, spans_text
 from ontime.llm.secret_scan import ORACLE_SQL as SECRETS_SQL
@@ -52,6 +54,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents"), keep_largest=True)
 
 
+@query("op4_fuzzy_lines")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 @query("op5_token_trie")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -99,3 +106,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_cgk_decontam")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

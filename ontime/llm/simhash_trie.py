@@ -224,10 +224,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each near-duplicate group the row with the smallest id.
 
-    Of repeated rows with that id one stays (the first by text and the other
-    columns' hash); rows without an id stay only if their group has no id.
+    Rows of equal id and text are one document, of which one row stays.  Rows
+    without an id can't be named by the decision and stay.
     """
     found = near_duplicates(docs, id_column, text_column)
-    winners = found.filter(F.col(id_column).eqNullSafe(F.col("component_id"))).select(id_column).distinct()
-    kept = docs.join(winners.withColumnRenamed(id_column, "_k"), docs[id_column].eqNullSafe(F.col("_k"))).drop("_k")
-    return kept.dropDuplicates([id_column])
+    winners = materialize(found.filter(F.col(id_column) == F.col("component_id")).select(id_column).distinct(), "winners")
+    kept = docs.join(winners, id_column).select(docs.columns).dropDuplicates([id_column, text_column])
+    return kept.unionByName(docs.filter(F.col(id_column).isNull()))
