@@ -202,25 +202,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
             .join(sample, "id"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((2, CELLS + 1), dtype=np.int32)  # the last cell counts documents
+        sums = np.zeros((4, CELLS + 1), dtype=np.int32)  # by class and part; the last cell counts documents
         for batch in batches:
-            for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for t, y, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = {cell for word in set(words_of(t)) for both in features(word) for cell in both}
-                sums[int(y == 1), [*own, CELLS]] += 1
+                sums[2 * (not counts) + (y != 1), [*own, CELLS]] += 1
         cells = np.flatnonzero(sums.any(axis=0))
         for low in range(0, len(cells), 65536):
             c = cells[low:low + 65536]
-            yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(sums[1, c].astype(np.int64)), pa.array(sums[0, c].astype(np.int64))],
-                                             names=["cell", "toxic", "clean"])
+            yield pa.RecordBatch.from_arrays([pa.array(c), *(pa.array(sums[i, c].astype(np.int64)) for i in range(4))],
+                                             names=["cell", *parts])
 
-    kind = "cell bigint, toxic bigint, clean bigint"
-    cells = (rows.filter("counts").select("t", "y").mapInArrow(count, kind)
-             .groupBy("cell").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-             .filter(F.col("toxic") + F.col("clean") >= MIN_DOCUMENTS))
+    parts = ["toxic", "clean", "held_toxic", "held_clean"]
+    cells = (rows.select("t", "y", "counts").mapInArrow(count, "cell bigint, " + ", ".join(f"{c} bigint" for c in parts))
+             .groupBy("cell").agg(*(F.sum(c).alias(c) for c in parts))
+             .filter(" + ".join(parts) + f" >= {MIN_DOCUMENTS}"))
     table = cells.toArrow()  # at most CELLS + 1 rows
-    counts = np.zeros((2, CELLS + 1), dtype=np.int64)
-    counts[0, table["cell"].to_numpy()] = table["toxic"].to_numpy()
-    counts[1, table["cell"].to_numpy()] = table["clean"].to_numpy()
+    counts = np.zeros((4, CELLS + 1), dtype=np.int64)
+    for k, c in enumerate(parts):
+        counts[k, table["cell"].to_numpy()] = table[c].to_numpy()
     model = Model(counts[0, :-1], counts[1, :-1], int(counts[0, -1]), int(counts[1, -1]))
     if not counts[0, -1] or not counts[1, -1]:
         return model
@@ -253,7 +253,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     if 0 < y.sum() < len(y):
         x = np.column_stack([found[c].to_numpy() for c in "abcd"])
         model.coefficients = _logistic(x, y)
-    return model
+    # With the calibration fitted on rows it hadn't counted, the model may count them too.
+    every = counts[:2] + counts[2:]
+    final = Model(every[0, :-1], every[1, :-1], int(every[0, -1]), int(every[1, -1]))
+    final.rate, final.coefficients = model.rate, model.coefficients
+    return final
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
