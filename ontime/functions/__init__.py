@@ -6,7 +6,6 @@ from ontime.functions.expressions import (  # noqa: F401
     BUCKET_ON_TIME,
     BUCKET_SLIGHT,
     BUCKET_UNKNOWN,
-    clip,
     cyclical,
     delay_bucket,
     delayed_flag,
@@ -16,9 +15,6 @@ from ontime.functions.expressions import (  # noqa: F401
     is_missing,
     is_valid_number,
     minutes_of_day,
-    numeric_fields,
     pct,
-    safe_corr,
     to_double,
-    to_int,
 )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,8 @@ BUCKET_SLIGHT = "(0,15)"
 BUCKET_DELAYED = ">= 15"
 BUCKET_UNKNOWN = "unknown"
 DELAY_THRESHOLD = 15
+# Stands for a null key part in key hashes.
+NULL_KEY = "~null~"
 
 
 def col_(c: str | Column) -> Column:
@@ -32,10 +34,6 @@ def to_double(c: str | Column) -> Column:
     return col_(c).try_cast(T.DoubleType())
 
 
-def to_int(c: str | Column) -> Column:
-    return col_(c).try_cast(T.IntegerType())
-
-
 def is_valid_number(c: str | Column) -> Column:
     """Not null and not NaN."""
     c = col_(c)
@@ -110,35 +108,18 @@ def cyclical(minutes: Column, period: float = 1440.0) -> tuple[Column, Column]:
     return F.sin(angle), F.cos(angle)
 
 
-def clip(c: str | Column, lo: Column | float, hi: Column | float) -> Column:
-    """Clamp to ``[lo, hi]`` (P20); null stays null."""
-    x = col_(c)
-    lo_c = lo if isinstance(lo, Column) else F.lit(lo)
-    hi_c = hi if isinstance(hi, Column) else F.lit(hi)
-    return F.least(F.greatest(x, lo_c), hi_c)
-
-
-def safe_corr(x: str | Column, y: str | Column) -> Column:
-    """Pearson correlation that is null for a constant column.
-
-    ``corr`` raises DIVIDE_BY_ZERO under ANSI when a column is constant, and
-    a CASE guard does not help because the aggregate is evaluated first.
-    """
-    x, y = col_(x), col_(y)
-    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
-
-
 def hash_unit(*keys: str | Column) -> Column:
     """Deterministic 32-bit hash bucket in ``[0, 2^32)`` of the key columns.
 
     Built from ``md5`` so the same rows are chosen whatever the partitioning
-    and on any engine with ``md5`` (the oracle reproduces it in DuckDB).
+    and on any engine with ``md5`` (the oracle reproduces it in DuckDB).  A
+    null key part hashes as ``NULL_KEY``: every row has a hash.
     """
     parts: list[Column] = []
     for i, k in enumerate(keys):
         if i:
             parts.append(F.lit("-"))
-        parts.append(col_(k).cast("string"))
+        parts.append(F.coalesce(col_(k).cast("string"), F.lit(NULL_KEY)))
     digest = F.md5(F.concat(*parts))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
@@ -147,12 +128,3 @@ def hash_fraction_predicate(fraction: float, *keys: str | Column) -> Column:
     """True for about ``fraction`` of rows, chosen by key hash."""
     bound = int(fraction * (1 << 32))
     return hash_unit(*keys) < F.lit(bound)
-
-
-def numeric_fields(df: DataFrame, wanted: list[str] | None = None) -> list[str]:
-    """Names of numeric columns, optionally restricted to ``wanted``."""
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    if wanted is None:
-        return names
-    keep = set(names)
-    return [c for c in wanted if c in keep]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,12 +47,20 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast the listed columns that exist, in one projection.
 
     ``try_cast`` turns text that is not a number into null instead of failing
-    the job under ANSI mode (D1).
+    the job under ANSI mode (D1).  To an integer type, decimal text is cut
+    towards zero (``'745.0'`` is 745); out of range is null.
     """
     present = {c: t for c, t in types.items() if c in df.columns}
     if not present:
         return df
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in present.items()})
+    return df.withColumns({c: _cast(c, t) for c, t in present.items()})
+
+
+def _cast(column: str, kind: str) -> Column:
+    x = F.col(column)
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        return F.coalesce(x.try_cast(kind), x.try_cast("double").try_cast(kind))
+    return x.try_cast(kind)
 
 
 def typed_features(df: DataFrame, keep_extra: list[str] | None = None) -> Selection:

@@ -12,15 +12,15 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ontime.functions.expressions import delayed_flag, hhmm_hour, pct
+from ontime.functions.expressions import delayed_flag, hhmm_hour, is_valid_number
 from ontime.operators.cleaning import canonical_names, cast_columns, not_cancelled
-from ontime.schema import LABEL, MODEL_FEATURES
+from ontime.schema import LABEL, MODEL_FEATURES, transformed_types
 
 
 @dataclass
@@ -28,34 +28,38 @@ class Imputed:
     df: DataFrame
     imputed: list[str]
     dropped_all_null: list[str] = field(default_factory=list)
-    model: object | None = None
+    means: dict[str, float] = field(default_factory=dict)
+
+
+def column_means(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
+    """Mean of each column's real values (null and NaN left out), None without any; one aggregate."""
+    if not columns:
+        return {}
+    x = [F.col(c).cast("double") for c in columns]
+    row = df.agg(*[F.avg(F.when(~F.isnan(v), v)).alias(c) for c, v in zip(columns, x, strict=True)]).first()
+    return {c: row[c] for c in columns}
 
 
 def all_null_columns(df: DataFrame, columns: list[str]) -> list[str]:
     """Columns with no real value, found in one aggregate."""
-    if not columns:
-        return []
-    row = df.agg(*[F.count(F.when(~F.isnan(F.col(c).cast("double")), F.col(c))).alias(c)
-                   for c in columns]).first()
-    return [c for c in columns if row[c] == 0]
+    return [c for c, mean in column_means(df, columns).items() if mean is None]
 
 
 def impute_mean(df: DataFrame, columns: list[str], label: str | None = LABEL,
                 reference_compat: bool = False) -> Imputed:
     """Mean imputation under the original column names.
 
-    The label is left alone unless ``reference_compat`` (imputing the target
-    leaks it into the features).  Columns that are entirely null cannot have a
-    mean and are reported instead of failing the fit.
+    One aggregate gives the means and finds the columns that are entirely
+    null, which are reported; the fill is a projection.  The label is left
+    alone unless ``reference_compat`` (imputing the target leaks it into the
+    features).
     """
     cols = [c for c in columns if c in df.columns and (reference_compat or c != label)]
     df = cast_columns(df, {c: "double" for c in cols})
-    empty = all_null_columns(df, cols)
-    cols = [c for c in cols if c not in empty]
-    if not cols:
-        return Imputed(df, [], empty)
-    model = Imputer(inputCols=cols, outputCols=cols, strategy="mean").fit(df)
-    return Imputed(model.transform(df), cols, empty, model)
+    means = column_means(df, cols)
+    known = {c: m for c, m in means.items() if m is not None}
+    filled = {c: F.coalesce(F.nanvl(c, F.lit(None).cast("double")), F.lit(m)) for c, m in known.items()}
+    return Imputed(df.withColumns(filled) if filled else df, list(known), [c for c in cols if c not in known], known)
 
 
 def add_hours(df: DataFrame, wrap24: bool = False) -> DataFrame:
@@ -94,21 +98,19 @@ def model_input(df: DataFrame, features: list[str] | None = None, label: str = L
                 assemble: bool = True, handle_invalid: str = "skip") -> DataFrame:
     """Rows ready for a regressor (M11): not cancelled, typed, complete, assembled.
 
+    Types are those of the transformed layer (``schema.transformed_types``).
     Raises ``ValueError`` when the label column is absent.
     """
-    df = canonical_names(df)
-    df = not_cancelled(df)
-    df = add_hours(cast_columns(df, {"DepTime": "double", "ArrTime": "double"}))
-    df = cast_columns(df, {c: "double" for c in ["DepDelay", "Distance", "TaxiIn", "TaxiOut", label,
-                                                 "DepTime", "ArrTime"]})
-    df = cast_columns(df, {c: "int" for c in ["DepHour", "ArrHour", "DayOfWeek", "DayofMonth", "Month"]})
-    feats = [c for c in (features or MODEL_FEATURES) if c in df.columns and c not in ("Year", "Cancelled")]
+    df = not_cancelled(canonical_names(df))
     if label not in df.columns:
         raise ValueError(f"label {label} not found")
-    out = df.select(*feats, label).na.drop(how="any")
+    types = transformed_types()
+    df = add_hours(cast_columns(df, {c: types[c] for c in ("DepTime", "ArrTime")}))
+    wanted = [c for c in features or MODEL_FEATURES if c in df.columns]
+    out = cast_columns(df, {c: types.get(c, "double") for c in [*wanted, label]}).select(*wanted, label)
+    out = out.na.drop(how="any")
     if assemble:
-        out = VectorAssembler(inputCols=feats, outputCol="features_vec",
-                              handleInvalid=handle_invalid).transform(out)
+        out = VectorAssembler(inputCols=wanted, outputCol="features_vec", handleInvalid=handle_invalid).transform(out)
     return out
 
 
@@ -146,29 +148,37 @@ def iterative_linear(features: list[str], label: str = LABEL, max_iter: int = 10
     return linear_regression(features, label, max_iter=max_iter, reg_param=0.0, solver="l-bfgs", scale=True)
 
 
-def delay_classifier(features: list[str], target: str = LABEL, threshold: float = 15.0,
+def delay_classifier(features: list[str], label: str = "is_delayed",
                      weight_col: str | None = "class_weight") -> Pipeline:
-    """Binary delayed (>= 15 min) logistic model with class weights."""
+    """Logistic model of the flag that ``with_class_weight`` adds, with its class weights."""
     stages = [VectorAssembler(inputCols=features, outputCol="features_vec", handleInvalid="skip"),
-              LogisticRegression(featuresCol="features_vec", labelCol="is_delayed",
-                                 weightCol=weight_col or None, maxIter=50)]
+              LogisticRegression(featuresCol="features_vec", labelCol=label, weightCol=weight_col or None, maxIter=50)]
     return Pipeline(stages=stages)
 
 
-def with_class_weight(df: DataFrame, target: str = LABEL, threshold: float = 15.0) -> DataFrame:
-    """``is_delayed`` label and inverse-frequency class weights.
+def class_weights(df: DataFrame, target: str = LABEL, threshold: float = 15.0) -> DataFrame:
+    """(is_delayed, n, class_weight) of the two classes (X4); rows without a target are left out.
 
-    The two class shares come from one aggregate; each row's weight is
-    ``0.5 / share(class)`` so both classes weigh the same in total.
+    A class's weight is ``0.5 / share(class)``, so both weigh the same in
+    total; 1 where only one class is there.
     """
-    flagged = df.withColumn("is_delayed", delayed_flag(target, threshold).cast("double"))
-    row = flagged.agg(F.count(F.lit(1)).alias("n"), F.sum("is_delayed").alias("pos")).first()
-    n, pos = row["n"] or 0, row["pos"] or 0.0
-    if n == 0 or pos in (0, n):
-        return flagged.withColumn("class_weight", F.lit(1.0))
-    w_pos, w_neg = 0.5 * n / pos, 0.5 * n / (n - pos)
-    return flagged.withColumn("class_weight",
-                              F.when(F.col("is_delayed") == 1.0, F.lit(w_pos)).otherwise(F.lit(w_neg)))
+    known = df.filter(is_valid_number(F.col(target).cast("double")))
+    counts = (known.groupBy(delayed_flag(target, threshold).cast("double").alias("is_delayed"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    everyone = Window.partitionBy()  # two rows
+    total, classes = F.sum("n").over(everyone), F.count(F.lit(1)).over(everyone)
+    weight = F.when(classes > 1, F.lit(0.5) * total / F.col("n")).otherwise(1.0)
+    return counts.select("is_delayed", "n", weight.alias("class_weight"))
+
+
+def with_class_weight(df: DataFrame, target: str = LABEL, threshold: float = 15.0) -> DataFrame:
+    """Rows with a target, their ``is_delayed`` label and class weight."""
+    known = df.filter(is_valid_number(F.col(target).cast("double")))
+    weight = F.lit(1.0)
+    for r in class_weights(df, target, threshold).collect():  # two rows
+        weight = F.when(F.col("is_delayed") == r["is_delayed"], F.lit(r["class_weight"])).otherwise(weight)
+    return known.withColumn("is_delayed", delayed_flag(target, threshold).cast("double")) \
+        .withColumn("class_weight", weight)
 
 
 def regression_metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
@@ -186,13 +196,25 @@ def regression_metrics(pred: DataFrame, label: str = LABEL, prediction: str = "p
 
 
 def compare_models(models: dict[str, PipelineModel], test: DataFrame, label: str = LABEL) -> DataFrame:
-    """(model, n, rmse, r2, mae) per fitted model, best RMSE first."""
-    parts = [regression_metrics(m.transform(test), label).withColumn("model", F.lit(name))
-             for name, m in models.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("model", "n", "rmse", "r2", "mae").orderBy("rmse", "model")
+    """(model, n, rmse, r2, mae) per fitted model, best RMSE first.
+
+    The models' predictions are chained over one scan of the test set and all
+    metrics come from one aggregate.
+    """
+    out = test
+    for i, m in enumerate(models.values()):
+        scored = m.transform(out)
+        extra = [c for c in scored.columns if c not in out.columns and c != "prediction"]
+        out = scored.withColumnRenamed("prediction", f"_p{i}").drop(*extra)
+    rows = F.explode(F.array(*[F.struct(F.lit(name).alias("model"), F.col(f"_p{i}").alias("prediction"))
+                               for i, name in enumerate(models)]))
+    err = F.col("prediction") - F.col(label)
+    agg = (out.select(label, rows.alias("m")).select(label, "m.*").groupBy("model")
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(err * err).alias("sse"), F.avg(F.abs(err)).alias("mae"),
+                F.var_pop(F.col(label)).alias("var_y")))
+    return agg.select("model", "n", F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
+                      (F.lit(1.0) - F.try_divide(F.col("sse"), F.col("var_y") * F.col("n"))).alias("r2"),
+                      "mae").orderBy("rmse", "model")
 
 
 def score_rows(model: PipelineModel, df: DataFrame, label: str = LABEL, keep: list[str] | None = None) -> DataFrame:
@@ -200,18 +222,21 @@ def score_rows(model: PipelineModel, df: DataFrame, label: str = LABEL, keep: li
     return model.transform(df).select(*(keep or []), label, "prediction")
 
 
-def fit_persisted(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit with the train set cached (memory, spilling to disk) and released after.
+#: Partitions of a train set unless the caller says otherwise; raise it with the data.
+TRAIN_PARTITIONS = 16
+
 
-    Estimators pass over their input many times (a forest once per tree
-    level).  A train set with fewer partitions than the cluster has cores is
-    spread first, otherwise every pass runs on that many cores; on large
-    inputs (more partitions than cores) nothing is reshuffled.
+def fit_persisted(pipeline: Pipeline, train: DataFrame, partitions: int = TRAIN_PARTITIONS) -> PipelineModel:
+    """Fit on a cached train set of one layout (memory, spilling to disk), released after.
+
+    Estimators pass over their input many times, and a forest's bagging draws
+    by partition and row position.  The rows are therefore always dealt by the
+    hash of all columns to ``partitions`` partitions and sorted in them: the
+    fitted model depends on that number, not on files, cores or upstream
+    shuffles.
     """
-    target = train.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() < target:
-        train = train.repartition(target)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    laid_out = train.repartition(partitions, *train.columns).sortWithinPartitions(*train.columns)
+    cached = laid_out.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(cached)
     finally:
@@ -226,7 +251,3 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
-
-
-def positive_rate(df: DataFrame, flag: str = "is_delayed") -> DataFrame:
-    return df.agg(pct(F.sum(flag), F.count(F.lit(1))).alias("pct_positive"))

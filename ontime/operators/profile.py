@@ -10,13 +10,12 @@ as a small long-form DataFrame.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
-from pyspark.errors import IllegalArgumentException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.expressions import is_missing, is_valid_number, pct
@@ -171,142 +170,173 @@ def _from_counts(df: DataFrame, columns: list[str], quantile_fn, probs: list[flo
     return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
 
 
-def correlation_matrix(df: DataFrame, columns: list[str], listwise: bool = True,
-                       engine: str = "sql") -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every ordered pair (A13, D15), long form ``(col_x, col_y, r)``.
 
-    ``engine="sql"`` (default): two aggregate passes, column means/min/max and
-    then the centred cross products of all k*(k+1)/2 pairs as plain ``sum``s
-    (the two-pass algorithm, stable like ``covar_samp`` and far cheaper than
-    k*(k+1)/2 covariance buffers); ``r`` is null when a column is constant
-    (min == max), where ``corr`` would divide by zero.
-    ``engine="ml"``: Spark ML ``Correlation.corr`` on an assembled vector (two
-    tree-aggregated passes, BLAS packed Gram updates; ~20 % faster at 14
-    columns).  Its conventions differ: the diagonal is always 1.0 and a
-    variance at or below 1e-12 counts as constant (NaN, returned as null).
-    ``listwise`` drops rows null or NaN in any of the columns, as the
-    reference's ``dropna`` did.  Only the k x k result reaches the driver.
+    Rows null or NaN in any of the columns are left out, as the reference's
+    ``dropna`` did.  One aggregate finds the constant columns, whose ``r`` is
+    null (``corr`` would divide by zero); the others' correlations come from
+    Spark ML's packed Gram matrix over an assembled vector, whose cost grows
+    with the columns squared inside tight array loops, not with as many SQL
+    expressions.  Only the k x k result reaches the driver.
     """
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    if listwise:
-        # One AtLeastNNonNulls test (null or NaN) instead of 2k predicates.
-        data = data.na.drop(how="any")
-    if engine == "sql":
-        return _correlation_sql(data, columns)
-    vec = VectorAssembler(inputCols=columns, outputCol="_features", handleInvalid="skip").transform(data)
-    try:
-        row = Correlation.corr(vec.select("_features"), "_features", "pearson").first()
-    except (IllegalArgumentException, Py4JJavaError):
-        # Fewer than two rows: no covariance; the SQL form yields nulls.
-        return _correlation_sql(data, columns)
-    m = row[0].toArray() if row is not None else None
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop(how="any")
+    spread = data.agg(F.count(F.lit(1)).alias("n"),
+                      F.array(*[F.min(c) for c in columns]).alias("lo"),
+                      F.array(*[F.max(c) for c in columns]).alias("hi")).first()
+    steady = [c for c, lo, hi in zip(columns, spread["lo"], spread["hi"], strict=True) if lo != hi]
+    matrix = None
+    if spread["n"] > 1 and steady:
+        vec = VectorAssembler(inputCols=steady, outputCol="_features").transform(data)
+        matrix = Correlation.corr(vec.select("_features"), "_features", "pearson").first()[0].toArray()
+    at = {c: i for i, c in enumerate(steady)} if matrix is not None else {}
     out = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            r = None if m is None else float(m[i][j])
-            out.append((a, b, None if r is None or math.isnan(r) else r))
-    return df.sparkSession.createDataFrame(out, "col_x string, col_y string, r double")
-
-
-def _correlation_sql(data: DataFrame, columns: list[str]) -> DataFrame:
-    """Two aggregate passes: means/min/max, then centred cross-product sums."""
-    stats = data.agg(*[e for c in columns for e in (F.avg(c).alias(f"m{columns.index(c)}"),
-                                                       F.min(c).alias(f"lo{columns.index(c)}"),
-                                                       F.max(c).alias(f"hi{columns.index(c)}"))]).first()
-    mean = {c: stats[f"m{i}"] for i, c in enumerate(columns)}
-    const = {c: stats[f"lo{i}"] is None or stats[f"lo{i}"] == stats[f"hi{i}"] for i, c in enumerate(columns)}
-    centred = {c: F.col(c) - F.lit(mean[c] if mean[c] is not None else 0.0) for c in columns}
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    sums = data.agg(*[F.sum(centred[a] * centred[b]).alias(f"s{j}") for j, (a, b) in enumerate(pairs)])
-    index = {p: j for j, p in enumerate(pairs)}
-    structs = []
     for a in columns:
         for b in columns:
-            j = index[(a, b)] if (a, b) in index else index[(b, a)]
-            sxy, sxx, syy = F.col(f"s{j}"), F.col(f"s{index[(a, a)]}"), F.col(f"s{index[(b, b)]}")
-            r = F.lit(None).cast("double") if (const[a] or const[b]) else F.try_divide(sxy, F.sqrt(sxx * syy))
-            structs.append(F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), r.alias("r")))
-    return sums.select(F.inline(F.array(*structs)))
-
-
-def _min_max(df: DataFrame, column: str) -> tuple[float | None, float | None, int]:
-    x = F.col(column).cast("double")
-    row = df.filter(is_valid_number(x)).agg(F.min(x).alias("lo"), F.max(x).alias("hi"),
-                                             F.count(F.lit(1)).alias("n")).first()
-    return row["lo"], row["hi"], row["n"]
+            r = float(matrix[at[a]][at[b]]) if a in at and b in at else None
+            out.append((a, b, None if r is None or math.isnan(r) else r))
+    return df.sparkSession.createDataFrame(out, "col_x string, col_y string, r double")
 
 
-def histogram(df: DataFrame, column: str, bins: int = 80,
-              lo: float | None = None, hi: float | None = None) -> DataFrame:
-    """Equal-width histogram, right edge closed on the last bin.
+def correlation_pairwise(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pearson correlation of every unordered pair over the rows where both are real, with their number.
 
-    Bounds default to the column's min and max (one small aggregate); the
-    counting pass is a partial-aggregated ``groupBy`` of at most ``bins`` keys.
+    ``(col_x, col_y, n, r)``, one aggregate; each pair has its own count, sums
+    and squares, taken about the column means for stability.  For many
+    columns use ``correlation_matrix``: this is k * k expressions.
+    """
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    data = data.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in columns])
+    means = data.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    centre = {c: F.col(c) - F.lit(means[c] if means[c] is not None else 0.0) for c in columns}
+    structs = []
+    for i, a in enumerate(columns):
+        for b in columns[i + 1:]:
+            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            x, y = F.when(both, centre[a]), F.when(both, centre[b])
+            structs.append(F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), F.count_if(both).alias("n"),
+                                    F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"),
+                                    F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy")))
+    sums = data.agg(F.array(*structs).alias("s")).select(F.inline("s"))
+    n = F.col("n").cast("double")
+    var_x, var_y = (F.greatest(n * F.col(f"s{v}{v}") - F.col(f"s{v}") * F.col(f"s{v}"), F.lit(0.0)) for v in "xy")
+    r = F.try_divide(n * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(var_x) * F.sqrt(var_y))
+    return sums.select("col_x", "col_y", "n", r.alias("r"))
+
+
+@dataclass(frozen=True)
+class Spread:
+    """Moments and bounds of one column's finite, clipped values."""
+    n: int
+    lo: float
+    hi: float
+    sd: float | None
+
+
+def clipped_counts(df: DataFrame, columns: list[str], lo_p: float | None = None, hi_p: float | None = None,
+                   vc: DataFrame | None = None) -> DataFrame:
+    """Value counts ``(column, v, n)`` of finite values, clipped to two quantiles when given (P20).
+
+    ``vc``: counts from ``value_counts`` that the caller has cached.
+    """
+    vc = value_counts(df, columns) if vc is None else vc
+    vc = vc.filter((F.col("v") > F.lit(-math.inf)) & (F.col("v") < F.lit(math.inf)))
+    if lo_p is None:
+        return vc
+    q = quantiles_cont(df, columns, [lo_p, hi_p], counts=vc).collect()
+    at = {(r["column"], r["probability"]): r["value"] for r in q}
+    v = F.col("v")
+    for i, c in enumerate(columns):
+        if (c, lo_p) in at:
+            v = F.when(F.col("column") == i, F.least(F.greatest(F.col("v"), F.lit(at[c, lo_p])), F.lit(at[c, hi_p]))) \
+                .otherwise(v)
+    return vc.select("column", v.alias("v"), "n").groupBy("column", "v").agg(F.sum("n").alias("n"))
+
+
+def spreads(counts: DataFrame, columns: list[str]) -> dict[str, Spread]:
+    rows = summary_from_counts(counts, columns).collect()
+    return {r["column"]: Spread(r["count"], r["min"], r["max"], r["stddev"]) for r in rows if r["count"]}
+
+
+def histograms(counts: DataFrame, columns: list[str], bins: int = 80,
+               known: dict[str, Spread] | None = None) -> DataFrame:
+    """Equal-width histogram of each column from its value counts (A14): all ``bins`` bins, empty ones too.
+
+    ``(column, bin, lo, hi, n)``; the right edge belongs to the last bin; a
+    constant column has all rows in bin 1, of width 1.  A column without
+    finite values has no bins.
+    """
+    known = spreads(counts, columns) if known is None else known
+    spark, empty = counts.sparkSession, F.lit(None).cast("int")
+    b, spine = empty, []
+    for i, c in enumerate(columns):
+        if c not in known:
+            continue
+        lo, hi = known[c].lo, known[c].hi
+        width = (hi - lo) / bins if hi > lo else 1.0
+        raw = F.floor(F.lit(float(bins)) * (F.col("v") - F.lit(lo)) / F.lit(hi - lo)) + 1 if hi > lo else F.lit(1)
+        b = F.when(F.col("column") == i, F.least(raw, F.lit(bins)).cast("int")).otherwise(b)
+        spine += [(c, i, k + 1, lo + k * width, lo + (k + 1) * width) for k in range(bins)]
+    found = counts.select("column", b.alias("bin"), "n").groupBy("column", "bin").agg(F.sum("n").alias("n")) \
+        .withColumnsRenamed({"column": "_i", "bin": "_b"})
+    frame = spark.createDataFrame(spine, "column string, i int, bin int, lo double, hi double")
+    # Both sides hold columns x bins rows.
+    return (frame.join(found, (F.col("i") == F.col("_i")) & (F.col("bin") == F.col("_b")), "left")
+            .select("column", "bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+            .orderBy("column", "bin"))
+
+
+def histogram(df: DataFrame, column: str, bins: int = 80) -> DataFrame:
+    """``histograms`` of one column (A14): ``(bin, lo, hi, n)``."""
+    return histograms(clipped_counts(df, [column]), [column], bins).drop("column")
+
+
+#: Standard deviations of the kernel beyond which a value adds nothing at double precision.
+KERNEL_REACH = 9.0
+
+
+def densities(counts: DataFrame, columns: list[str], gridsize: int = 200, cut: float = 3.0,
+              bins: int | None = None, known: dict[str, Spread] | None = None) -> DataFrame:
+    """Gaussian kernel density of each column on an even grid (A15), Scott's bandwidth, from its value counts.
+
+    ``(column, gi, x, density)``.  Each distinct value adds only to the grid
+    points its kernel reaches, through an ``explode`` of their range and a
+    ``groupBy`` of ``gridsize`` keys a column (map-side combined).  ``bins``
+    first moves values to the centres of that many equal-width bins, which
+    bounds the work for continuous columns; the error is below the bin width.
+    A column of fewer than two values or without spread has no density.
     """
-    x = F.col(column).cast("double")
-    if lo is None or hi is None:
-        mn, mx, _ = _min_max(df, column)
-        lo = mn if lo is None else lo
-        hi = mx if hi is None else hi
-    if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint")
-    width = (hi - lo) / bins if hi > lo else 1.0
-    if hi > lo:
-        raw = F.expr(f"width_bucket(CAST(`{column}` AS DOUBLE), {lo!r}, {hi!r}, {bins})")
-        b = F.least(raw, F.lit(bins)).cast("int")
-    else:
-        b = F.lit(1)
-    counted = (df.filter(is_valid_number(x) & (x >= F.lit(lo)) & (x <= F.lit(hi)))
-                 .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
-    return counted.select("bin",
-                          (F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("lo"),
-                          (F.lit(lo) + F.col("bin") * F.lit(width)).alias("hi"),
-                          "n").orderBy("bin")
+    known = spreads(counts, columns) if known is None else known
+    known = {c: s for c, s in known.items() if s.n > 1 and s.sd}
+    per = lambda f: F.coalesce(*[F.when(F.col("column") == i, F.lit(float(f(known[c]))))
+                                 for i, c in enumerate(columns) if c in known], F.lit(None).cast("double"))
+    band = lambda s: s.sd * s.n ** (-1.0 / 5.0)
+    start = lambda s: s.lo - cut * band(s)
+    step = lambda s: (s.hi + cut * band(s) - start(s)) / (gridsize - 1)
+    rows = counts.select("column", "v", "n", per(band).alias("h"), per(start).alias("g0"), per(step).alias("step"),
+                         per(lambda s: 1.0 / (s.n * band(s) * math.sqrt(2.0 * math.pi))).alias("norm"))
+    rows = rows.filter(F.col("h").isNotNull())
+    if bins:
+        low, width = per(lambda s: s.lo), per(lambda s: (s.hi - s.lo) / bins)
+        at = F.least(F.floor((F.col("v") - low) / width), F.lit(bins - 1))
+        rows = (rows.withColumn("v", low + (at + F.lit(0.5)) * width)
+                .groupBy("column", "v", "h", "g0", "step", "norm").agg(F.sum("n").alias("n")))
+    reach = F.lit(KERNEL_REACH) * F.col("h")
+    first = F.greatest(F.ceil((F.col("v") - reach - F.col("g0")) / F.col("step")), F.lit(0)).cast("int")
+    last = F.least(F.floor((F.col("v") + reach - F.col("g0")) / F.col("step")), F.lit(gridsize - 1)).cast("int")
+    grid = rows.select("*", F.explode(F.sequence(first, last)).alias("gi"))
+    z = (F.col("g0") + F.col("gi") * F.col("step") - F.col("v")) / F.col("h")
+    found = grid.groupBy("column", "gi").agg(F.sum(F.col("n") * F.exp(F.lit(-0.5) * z * z)).alias("s")) \
+        .withColumnsRenamed({"column": "_i", "gi": "_g"})
+    spine = [(c, i, k, start(known[c]) + k * step(known[c]), 1.0 / (known[c].n * band(known[c]) * math.sqrt(2 * math.pi)))
+             for i, c in enumerate(columns) if c in known for k in range(gridsize)]
+    frame = counts.sparkSession.createDataFrame(spine, "column string, i int, gi int, x double, norm double")
+    return (frame.join(found, (F.col("i") == F.col("_i")) & (F.col("gi") == F.col("_g")), "left")
+            .select("column", "gi", "x", (F.coalesce("s", F.lit(0.0)) * F.col("norm")).alias("density"))
+            .orderBy("column", "gi"))
 
 
 def kde_grid(df: DataFrame, column: str, gridsize: int = 200, cut: float = 3.0,
-             bw: float | None = None, bins: int | None = None) -> DataFrame:
-    """Gaussian kernel density on an even grid (A15), Scott's bandwidth.
-
-    Exact over the data by default: rows are first reduced to distinct values
-    with counts, then each distinct value contributes to every grid point
-    through an ``explode`` of the grid index and a ``groupBy`` of at most
-    ``gridsize`` keys (map-side combined).  Work is distinct-values x gridsize.
-    For continuous data at scale, ``bins`` first snaps values to the centres
-    of that many equal-width bins (bandwidth and range still from the exact
-    data), bounding the work at bins x gridsize; the error is below the bin
-    width, far under the bandwidth for bins >> range / bandwidth.
-    """
-    x = F.col(column).cast("double")
-    valid = df.select(x.alias("v")).filter(is_valid_number("v"))
-    st = valid.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
-                   F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    n, sd, lo, hi = st["n"], st["sd"], st["lo"], st["hi"]
-    if not n or sd is None or sd == 0 or (bw is None and n < 2):
-        return df.sparkSession.createDataFrame([], "gi int, x double, density double")
-    h = bw if bw is not None else sd * n ** (-1.0 / 5.0)
-    g0, g1 = lo - cut * h, hi + cut * h
-    step = (g1 - g0) / (gridsize - 1)
-    norm = 1.0 / (n * h * math.sqrt(2.0 * math.pi))
-    if bins and hi > lo:
-        w = (hi - lo) / bins
-        idx = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(w)), F.lit(bins - 1))
-        valid = valid.select((F.lit(lo) + (idx + F.lit(0.5)) * F.lit(w)).alias("v"))
-    vc = valid.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    grid = vc.select("v", "c", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("gi"))
-    gx = F.lit(g0) + F.col("gi") * F.lit(step)
-    z = (gx - F.col("v")) / F.lit(h)
-    contrib = F.col("c") * F.exp(F.lit(-0.5) * z * z)
-    dens = grid.groupBy("gi").agg(F.sum(contrib).alias("s"))
-    return dens.select(F.col("gi").cast("int").alias("gi"), (F.lit(g0) + F.col("gi") * F.lit(step)).alias("x"),
-                       (F.col("s") * F.lit(norm)).alias("density")).orderBy("gi")
-
-
-def share_window_total(df: DataFrame, count_col: str = "n") -> DataFrame:
-    """Add the share of ``count_col`` in its (small, aggregated) frame.
-
-    The total is a window over the already-aggregated rows, replacing the
-    reference's separate ``count()`` job over the full data.
-    """
-    total = F.sum(count_col).over(Window.partitionBy())
-    return df.withColumn("pct", pct(F.col(count_col), total))
+             bins: int | None = None) -> DataFrame:
+    """``densities`` of one column (A15): ``(gi, x, density)``."""
+    return densities(clipped_counts(df, [column]), [column], gridsize, cut, bins).drop("column")

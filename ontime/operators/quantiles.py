@@ -11,20 +11,25 @@ here never does that:
 2. approximate bucket bounds over the distinct values (one small job, at most
    ``buckets`` doubles per column come back to the driver);
 3. per-bucket totals and their running sum (``buckets`` rows per column);
-4. only the buckets that contain a target rank are joined back (broadcast of
+4. a bucket that contains a target rank and more than ``ROW_BUDGET`` distinct
+   values is cut again;
+5. only the buckets that contain a target rank are joined back (broadcast of
    at most one row per target) and ranked with a window inside the bucket.
+   Infinities are values like any other, in the outermost buckets.
 
 The answer is the smallest value whose cumulative count reaches the target
 rank, which is the SQL ``percentile_disc`` definition; ``percentile_cont``
 interpolates between two such ranks.  The step is eager (like
 ``approxQuantile``): it returns its few result rows (columns x targets) as a
 small DataFrame and releases the cached counts.  The approximate path is one
-``percentile_approx`` aggregate and is what a profile uses by default at scale.
+``percentile_approx`` aggregate (``tidy_profile(exact=False)``): the full
+(column, value) shuffle is the price of exactness, so use it at 100 TB.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
@@ -33,7 +38,9 @@ from pyspark.sql import functions as F
 
 from ontime.functions.expressions import is_valid_number
 
+#: Buckets a column's values are first cut into; distinct values one task may rank.
 DEFAULT_BUCKETS = 512
+ROW_BUDGET = 100_000
 
 
 def long_values(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -57,18 +64,24 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return long.groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _bucket_bounds(vc: DataFrame, buckets: int) -> dict[int, list[float]]:
-    probs = [i / buckets for i in range(1, buckets)]
-    acc = max(10_000, 4 * buckets)
-    rows = (vc.groupBy("column")
-              .agg(F.percentile_approx("v", probs, acc).alias("b"))
-              .collect())
-    return {r["column"]: sorted(set(x for x in (r["b"] or []) if x is not None and not math.isnan(x)))
-            for r in rows}
+def _key(i: int, row: str = "v") -> Column:
+    return F.when(F.col("column") == F.lit(i), F.col(row))
+
+
+def _finite(c: str = "v") -> Column:
+    return (F.col(c) > F.lit(-math.inf)) & (F.col(c) < F.lit(math.inf))
+
+
+def _split_points(vc: DataFrame, buckets: int) -> dict[int, list[float]]:
+    """Approximate ``buckets``-quantiles of the distinct finite values, by column."""
+    probs = [i / buckets for i in range(1, buckets)] or [0.5]
+    rows = (vc.filter(_finite()).groupBy("column")
+              .agg(F.percentile_approx("v", probs, max(10_000, 4 * buckets)).alias("b")).collect())
+    return {r["column"]: sorted(set(r["b"] or [])) for r in rows}
 
 
 def rank_values(df: DataFrame, columns: list[str], targets: dict[str, callable],
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                buckets: int = DEFAULT_BUCKETS, row_budget: int = ROW_BUDGET) -> DataFrame:
     """For each column and target, the smallest value whose cumulative count reaches it.
 
     ``targets`` maps an output name to a function of the column's valid row
@@ -79,15 +92,33 @@ def rank_values(df: DataFrame, columns: list[str], targets: dict[str, callable],
         raise ValueError("no columns")
     vc = value_counts(df, columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return rank_values_from_counts(vc, columns, targets, buckets)
+        return rank_values_from_counts(vc, columns, targets, buckets, row_budget)
     finally:
         vc.unpersist()
 
 
 def rank_values_from_counts(vc: DataFrame, columns: list[str], targets: dict[str, callable],
-                            buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """``rank_values`` over already computed (and ideally cached) value counts."""
-    rows = _rank_plan(vc, columns, targets, _bucket_bounds(vc, buckets)).collect()
+                            buckets: int = DEFAULT_BUCKETS, row_budget: int = ROW_BUDGET) -> DataFrame:
+    """``rank_values`` over already computed (and ideally cached) value counts.
+
+    A bucket that holds a target and more than ``row_budget`` distinct values
+    is split again before it is ranked, until none does.
+    """
+    bounds = _split_points(vc, buckets)
+    while True:
+        vcb = _bucketed(vc, columns, bounds)
+        hits = _hit_buckets(vcb, targets)
+        wide = hits.filter(F.col("values") > row_budget).select("column", "bucket", "values").collect()
+        if not wide:
+            break
+        inside = vcb.join(F.broadcast(hits.filter(F.col("values") > row_budget).select("column", "bucket")),
+                          ["column", "bucket"]).select("column", "v", "n")
+        finer = _split_points(inside, max(2, buckets, -(-2 * max(r["values"] for r in wide) // row_budget)))
+        more = {i: sorted({*bounds.get(i, []), *finer.get(i, [])}) for i in range(len(columns))}
+        if more == {i: bounds.get(i, []) for i in range(len(columns))}:
+            break  # one value, or infinities only: nothing left to split
+        bounds = more
+    rows = _rank_plan(vcb, hits, targets).collect()
     schema = "column string, total_n bigint, " + ", ".join(f"`{k}` double" for k in targets)
     named = [(columns[r[0]],) + tuple(r)[1:] for r in rows]
     return vc.sparkSession.createDataFrame(named, schema)
@@ -123,37 +154,35 @@ def summary_from_counts(vc: DataFrame, columns: list[str]) -> DataFrame:
         out, "column string, count bigint, mean double, stddev double, min double, max double")
 
 
-def _rank_plan(vc: DataFrame, columns: list[str], targets: dict[str, callable],
-               bounds: dict[int, list[float]]) -> DataFrame:
-    # One multi-column Bucketizer over the value counts: each row is bucketed
-    # against its own column's splits (no per-column filter or union).
+def _bucketed(vc: DataFrame, columns: list[str], bounds: dict[int, list[float]]) -> DataFrame:
+    """Value counts with their bucket: one multi-column Bucketizer, each row against its own column's splits."""
     splits = [[-math.inf] + (bounds.get(i, []) or [0.0]) + [math.inf] for i in range(len(columns))]
     ins = [f"_v{i}" for i in range(len(columns))]
     outs = [f"_b{i}" for i in range(len(columns))]
-    wide = vc.withColumns({ins[i]: F.when(F.col("column") == F.lit(i), F.col("v")).otherwise(F.lit(0.0))
-                           for i in range(len(columns))})
+    wide = vc.withColumns({ins[i]: _key(i).otherwise(F.lit(0.0)) for i in range(len(columns))})
     bucketed = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs).transform(wide)
-    bucket = F.lit(None).cast("double")
-    for i in range(len(columns)):
-        bucket = F.when(F.col("column") == F.lit(i), F.col(outs[i])).otherwise(bucket)
-    vcb = bucketed.select("column", "v", "n", bucket.alias("bucket"))
+    bucket = F.coalesce(*[_key(i, outs[i]) for i in range(len(columns))])
+    return bucketed.select("column", "v", "n", bucket.alias("bucket"))
+
 
-    by_col = Window.partitionBy("column")
+def _hit_buckets(vcb: DataFrame, targets: dict[str, callable]) -> DataFrame:
+    """Buckets that hold a target rank: at most one row per column and target."""
+    by_col = Window.partitionBy("column")  # at most as many rows as buckets
     running = by_col.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = (vcb.groupBy("column", "bucket").agg(F.sum("n").alias("bn"))
+    totals = (vcb.groupBy("column", "bucket").agg(F.sum("n").alias("bn"), F.count(F.lit(1)).alias("values"))
                  .withColumn("end", F.sum("bn").over(running))
                  .withColumn("total_n", F.sum("bn").over(by_col))
                  .withColumn("start", F.col("end") - F.col("bn")))
     tcols = {name: F.greatest(fn(F.col("total_n")).cast("double"), F.lit(1.0)) for name, fn in targets.items()}
     totals = totals.withColumns({f"t_{k}": v for k, v in tcols.items()})
-    hit = None
-    for k in targets:
-        t = F.col(f"t_{k}")
-        cond = (F.col("start") < t) & (t <= F.col("end"))
-        hit = cond if hit is None else (hit | cond)
-    needed = totals.filter(hit).drop("bn", "end")
+    hit = reduce(lambda a, b: a | b, [(F.col("start") < F.col(f"t_{k}")) & (F.col(f"t_{k}") <= F.col("end"))
+                                      for k in targets])
+    return totals.filter(hit).drop("bn", "end")
+
+
+def _rank_plan(vcb: DataFrame, hits: DataFrame, targets: dict[str, callable]) -> DataFrame:
     # At most one bucket per target and column: a bounded broadcast.
-    ranked = vcb.join(F.broadcast(needed), ["column", "bucket"])
+    ranked = vcb.join(F.broadcast(hits), ["column", "bucket"])
     within = Window.partitionBy("column", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding,
                                                                              Window.currentRow)
     ranked = ranked.withColumn("cum", F.col("start") + F.sum("n").over(within))
@@ -167,7 +196,8 @@ def _pname(p: float) -> str:
 
 
 def quantiles_disc(df: DataFrame, columns: list[str], probs: list[float],
-                   buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
+                   buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None,
+                   row_budget: int = ROW_BUDGET) -> DataFrame:
     """Exact ``percentile_disc``; long form ``(column, probability, value)``.
 
     ``counts``: value counts already computed by ``value_counts`` (cached by
@@ -175,15 +205,16 @@ def quantiles_disc(df: DataFrame, columns: list[str], probs: list[float],
     """
     targets = {_pname(p): (lambda N, p=p: N.cast("double") * F.lit(float(p))) for p in probs}
     if counts is not None:
-        wide = rank_values_from_counts(counts, columns, targets, buckets)
+        wide = rank_values_from_counts(counts, columns, targets, buckets, row_budget)
     else:
-        wide = rank_values(df, columns, targets, buckets)
+        wide = rank_values(df, columns, targets, buckets, row_budget)
     st = F.array(*[F.struct(F.lit(float(p)).alias("probability"), F.col(_pname(p)).alias("value")) for p in probs])
     return wide.select("column", F.inline(st))
 
 
 def quantiles_cont(df: DataFrame, columns: list[str], probs: list[float],
-                   buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None) -> DataFrame:
+                   buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None,
+                   row_budget: int = ROW_BUDGET) -> DataFrame:
     """Exact ``percentile_cont`` (linear interpolation, as pandas ``quantile``).
 
     ``counts``: precomputed value counts, as for ``quantiles_disc``.
@@ -194,9 +225,9 @@ def quantiles_cont(df: DataFrame, columns: list[str], probs: list[float],
         targets[_pname(p) + "_lo"] = lambda N, rn=rn: F.floor(rn(N)) + 1.0
         targets[_pname(p) + "_hi"] = lambda N, rn=rn: F.ceil(rn(N)) + 1.0
     if counts is not None:
-        wide = rank_values_from_counts(counts, columns, targets, buckets)
+        wide = rank_values_from_counts(counts, columns, targets, buckets, row_budget)
     else:
-        wide = rank_values(df, columns, targets, buckets)
+        wide = rank_values(df, columns, targets, buckets, row_budget)
     structs = []
     for p in probs:
         rn = (F.col("total_n").cast("double") - 1.0) * F.lit(float(p))

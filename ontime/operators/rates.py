@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ontime.functions.expressions import delay_bucket, delayed_flag, pct
 from ontime.schema import LABEL
@@ -23,10 +22,6 @@ def bucket_summary(df: DataFrame, target: str = LABEL, unknown_bucket: bool = Tr
                    .orderBy(F.desc("n"), "delay_bucket"))
 
 
-def with_delayed_flag(df: DataFrame, target: str = LABEL, flag: str = "is_delayed") -> DataFrame:
-    return df.withColumn(flag, delayed_flag(target))
-
-
 def delay_rate_overall(df: DataFrame, target: str = LABEL) -> DataFrame:
     """total, delayed and percent delayed in one aggregate."""
     return (df.agg(F.count(F.lit(1)).alias("total"), F.sum(delayed_flag(target)).alias("delayed"))
@@ -77,38 +72,19 @@ def top_groups(df: DataFrame, key: str, k: int = 10, target: str = LABEL,
               .limit(k))
 
 
-def _width(dt: T.DataType) -> int:
-    """Bytes per value, Spark's default sizes (strings and binaries as 20)."""
-    if isinstance(dt, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(dt, T.ShortType):
-        return 2
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    if isinstance(dt, T.StructType):
-        return sum(_width(f.dataType) for f in dt.fields)
-    if isinstance(dt, (T.StringType, T.BinaryType)):
-        return 20
-    return 8
-
-
-def estimated_bytes(df: DataFrame, rows: int) -> int:
-    """Row count times the schema's default row width."""
-    return rows * sum(_width(f.dataType) for f in df.schema.fields)
-
-
-def enrich(fact: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left",
-           max_broadcast_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+def enrich(fact: DataFrame, dim: DataFrame, on: list[str] | str, how: str = "left") -> DataFrame:
     """Attach dimension columns to facts.
 
-    The dimension is broadcast only after its size is measured (row count x
-    row width of the projected dimension); above the bound the join is left
-    to a shuffle join, which AQE may still turn into a broadcast at run time
-    from the real shuffle sizes.
+    No broadcast is forced: AQE picks the join from the real shuffle sizes and
+    splits a key that holds a large share of the facts.  Duplicate dimension
+    keys would multiply facts, so of each key one dimension row joins: the
+    first in the order of its other columns.
     """
-    rows = dim.count()
-    if estimated_bytes(dim, rows) <= max_broadcast_bytes:
-        return fact.join(F.broadcast(dim), on, how)
-    return fact.join(dim, on, how)
+    keys = [on] if isinstance(on, str) else list(on)
+    rest = [c for c in dim.columns if c not in keys]
+    if rest:
+        dim = (dim.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_row"))
+               .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]))
+    else:
+        dim = dim.distinct()
+    return fact.join(dim, keys, how)

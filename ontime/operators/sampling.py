@@ -8,7 +8,9 @@ in the DuckDB oracle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.expressions import hash_fraction_predicate, hash_unit
@@ -45,47 +47,44 @@ def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[Da
     return df.randomSplit(weights, seed=seed)
 
 
-def sample_exact_n(df: DataFrame, n: int, keys: list[str], oversample: float = 2.0) -> DataFrame:
+#: Hash bounds tried for an exact-n sample: 2^32 halved up to so many times.
+HALVINGS = 32
+
+
+def sample_exact_n(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     """Exactly ``min(n, rows)`` rows with the smallest key hashes (O8); a sampling operator.
 
     A plain ``orderBy(...).limit(n)`` makes every task send its own top ``n``
-    rows to one merging task (tasks x n rows).  Instead the rows whose hash is
-    below a bound chosen for about ``oversample * n`` candidates are kept (the
-    bound doubles until at least ``n`` qualify), and the top ``n`` is taken
-    among those: every row outside the bound hashes higher than every
-    candidate, so the result is the same, while the final merge sees about
-    ``2n`` rows.  Ties in the hash are broken by every column, so the result
-    does not depend on row order.  Costs two counting passes.
+    rows to one merging task (tasks x n rows).  One counting pass therefore
+    finds the smallest of the bounds 2^32, 2^31, 2^30 ... under which at least
+    ``n`` hashes lie; the top ``n`` is taken among those rows.  Every other row
+    hashes higher, so the result is that of the plain ordering, while the
+    final merge sees about 2n rows.  Ties in the hash are broken by every
+    column, so the result does not depend on row order.  Rows with null keys
+    have a hash like any other.
     """
     h = hash_unit(*keys)
-    order = [h] + [F.col(c) for c in df.columns]
-    total = df.count()
-    if total <= n:
-        return df.orderBy(*order)
-    frac = min(1.0, oversample * n / total)
-    while True:
-        cand = df if frac >= 1.0 else df.filter(h < F.lit(int(frac * (1 << 32))))
-        if frac >= 1.0 or cand.count() >= n:
-            break
-        frac = min(1.0, frac * 2.0)
-    return cand.orderBy(*order).limit(n)
-
-
-def sample_or_limit(df: DataFrame, fraction: float = 0.0005, max_rows: int = 3000, seed: int = 42,
-                    escalate: float = 20.0, min_fraction: float = 0.001) -> DataFrame | None:
-    """Sample with escalation (O6, O7): fraction, then a larger one, then a plain limit.
-
-    Each step only checks emptiness (stops at the first row).  Returns
-    ``None`` when the input is empty.
+    return _smallest(df, h, n, _counts_below(df, h))
+
+
+def _counts_below(df: DataFrame, h: Column) -> list[int]:
+    """Rows whose hash is under 2^32 / 2^i, for each i, in one pass."""
+    row = df.agg(*[F.count_if(h < F.lit(1 << (32 - i))).alias(f"c{i}") for i in range(HALVINGS)]).first()
+    return [row[f"c{i}"] for i in range(HALVINGS)]
+
+
+def _smallest(df: DataFrame, h: Column, n: int, below: list[int]) -> DataFrame:
+    enough = max((i for i, c in enumerate(below) if c >= n), default=0)
+    cand = df.filter(h < F.lit(1 << (32 - enough))) if enough else df
+    return cand.orderBy(h, *[F.col(c) for c in df.columns]).limit(n)
+
+
+def sample_or_limit(df: DataFrame, fraction: float, max_rows: int, keys: list[str]) -> DataFrame:
+    """A hash-ordered sample of stated size (O6, O7): ``min(max_rows, ceil(fraction * rows))`` rows, at least one.
+
+    One rule at every input size: no emptiness test, no prefix of the input.
+    An empty input gives an empty sample.
     """
-    s = bernoulli_sample(df, fraction, seed).limit(max_rows)
-    if not s.isEmpty():
-        return s
-    bigger = min(1.0, max(fraction * escalate, min_fraction))
-    s = bernoulli_sample(df, bigger, seed).limit(max_rows)
-    if not s.isEmpty():
-        return s
-    s = df.limit(max_rows)
-    if not s.isEmpty():
-        return s
-    return None
+    h = hash_unit(*keys)
+    below = _counts_below(df, h)
+    return _smallest(df, h, min(max_rows, max(1, math.ceil(fraction * below[0]))), below)

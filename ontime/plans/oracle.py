@@ -68,6 +68,11 @@ SELECT Year, Month, DayofMonth, DayOfWeek,
 FROM features
 """
 
+# A row's hash whose key column may be null: the null hashes as text.
+def null_safe_hash(column: str) -> str:
+    return f"CAST('0x' || substr(md5(coalesce(CAST({column} AS VARCHAR), '~null~')), 1, 8) AS BIGINT)"
+
+
 HASH_KEY = "CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)), 1, 8) AS BIGINT)"
 TEST_BOUND = int(0.2 * (1 << 32))
 

@@ -40,13 +40,6 @@ LABEL = "ArrDelay"
 # Partition keys of the written layers.
 PARTITION_KEYS = ["Year", "Month"]
 
-# The raw columns the code names; the CSV may carry more.
-RAW_COLUMNS = [
-    "Year", "Month", "DayofMonth", "DayOfWeek", "DepTime", "CRSDepTime", "ArrTime",
-    "CRSArrTime", "DepDelay", "ArrDelay", "Distance", "Cancelled", "TaxiIn", "TaxiOut",
-]
-
-
 # Type names used in the specs above.
 _TYPES = {
     "int": T.IntegerType(), "bigint": T.LongType(), "smallint": T.ShortType(), "tinyint": T.ByteType(),
@@ -67,10 +60,6 @@ def _struct(spec: list[tuple[str, str]]) -> T.StructType:
     return T.StructType([T.StructField(n, data_type(t), True) for n, t in spec])
 
 
-def feature_schema() -> T.StructType:
-    return _struct([(c, FEATURE_TYPES[c]) for c in FEATURE_COLUMNS])
-
-
 def raw_schema_typed(extra: list[tuple[str, str]] | None = None) -> T.StructType:
     """Typed raw schema used to read a flight CSV without inference.
 

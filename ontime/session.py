@@ -10,15 +10,13 @@ absent, which only happens outside a cluster.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 # Settings a local session gets; a cluster job brings its own.
-LOCAL_CONF = {
-    "spark.sql.shuffle.partitions": "8",
+SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -31,15 +29,23 @@ LOCAL_CONF = {
     # cleaning projections), so fall back to per-operator codegen instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+# Only for a local master: a cluster sizes its shuffles itself.
+LOCAL_CONF = {**SESSION_CONF, "spark.sql.shuffle.partitions": "8"}
+
+
+def is_local(master: str) -> bool:
+    """One JVM on one machine (``local``, ``local[8]``), whose disk all tasks share."""
+    return master == "local" or master.startswith("local[")
 
 
 def get_spark(master: str | None = None, app_name: str = "ontime",
-              warehouse_dir: str | None = None, conf: dict | None = None) -> SparkSession:
+              warehouse_dir: str | None = None, conf: dict | None = None, hive: bool = False) -> SparkSession:
     """Return the active session, else build one.
 
-    ``master`` and ``warehouse_dir`` only apply when a new session is built;
-    the reference passed a metastore URI as well, which belongs in the
-    deployment's ``spark-defaults`` rather than in code.
+    ``master``, ``warehouse_dir`` and ``hive`` only apply when a new session is
+    built.  ``hive`` adds Hive support, so registered tables outlive the
+    session; it needs a metastore service, whose address belongs in the
+    deployment's ``spark-defaults``.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
@@ -47,21 +53,28 @@ def get_spark(master: str | None = None, app_name: str = "ontime",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in {**LOCAL_CONF, **(conf or {})}.items():
+    base = LOCAL_CONF if is_local(master or "local") else SESSION_CONF
+    for k, v in {**base, **(conf or {})}.items():
         builder = builder.config(k, v)
     if warehouse_dir:
         builder = builder.config("spark.sql.warehouse.dir", warehouse_dir)
+    if hive:
+        builder = builder.enableHiveSupport()
     return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide scratch folder (``spark.checkpoint.dir``).
 
-    Set only when unset (local runs and tests), never overridden.
+    Set only when unset and the master is local (tests), never overridden; on
+    a cluster an unset folder is an error, as executors can't see each other's
+    disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not is_local(sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="ontime-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
@@ -73,15 +86,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one output."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return is_local_path(path) and os.path.exists(local_os_path(path))

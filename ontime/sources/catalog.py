@@ -8,9 +8,9 @@ metadata instead of keeping it (D13).
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ontime.sources.files import path_exists, read_csv_typed, read_parquet
@@ -81,9 +81,15 @@ def save_as_table(df: DataFrame, table: str, path: str, partition_by: list[str]
                   mode: str = "overwrite") -> DataFrame:
     """Write a new copy and register it in one step.
 
-    The target must not be the path the DataFrame reads from: the reference
-    overwrote its own input, which deletes the files mid-read.
+    The target must not be the path the DataFrame reads from (the reference
+    overwrote its own input, which deletes the files mid-read): raises
+    ``ValueError`` if an input file lies under ``path``.
     """
+    target = path.split(":", 1)[-1].rstrip("/") if path.startswith("file:") else path.rstrip("/")
+    target = re.sub("^/+", "/", target)
+    for f in df.inputFiles():
+        if re.sub("^/+", "/", f.removeprefix("file:")).startswith(target + "/"):
+            raise ValueError(f"{path} holds input files of the DataFrame, such as {f}")
     writer = df.write.mode(mode).option("path", path).format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -104,15 +110,15 @@ def load_first(spark: SparkSession, candidates: list[Candidate],
 
     Only "not there" is a reason to move on (missing table or path); any
     other error is raised, so a broken table is never silently replaced by a
-    stale file.
+    stale file, and an empty one is returned empty.  Nothing is written:
+    partitions are recovered on registration (``register_external``) or by
+    ``recover_partitions``.
     """
     tried = []
     for cand in candidates:
         if cand.kind == "table":
             if table_exists(spark, cand.location):
-                df = spark.table(cand.location)
-                if not _is_empty_partitioned(spark, cand.location, df):
-                    return df, cand
+                return spark.table(cand.location), cand
             tried.append(cand)
             continue
         if not path_exists(spark, cand.location):
@@ -124,18 +130,3 @@ def load_first(spark: SparkSession, candidates: list[Candidate],
             return read_csv_typed(spark, cand.location), cand
         raise ValueError(f"unknown candidate kind {cand.kind!r}")
     raise FileNotFoundError(f"no candidate source exists: {tried}")
-
-
-def _is_empty_partitioned(spark: SparkSession, table: str, df: DataFrame) -> bool:
-    """A partitioned table whose partitions were never recovered reads as empty.
-
-    Recover once, then accept it; only a partitioned table with still no
-    partition is treated as missing.
-    """
-    try:
-        if not partition_columns(spark, table):
-            return False
-        recover_partitions(spark, table)
-        return spark.sql(f"SHOW PARTITIONS {_quote(table)}").isEmpty()
-    except AnalysisException:
-        return False

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ontime.operators.cleaning import cast_columns
 from ontime.schema import data_type, raw_schema_typed
 
 # Text tokens the flight CSVs use for a missing number.
@@ -33,7 +36,20 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | None =
         return reader.option("inferSchema", "true").csv(path)
     if schema is None:
         schema = _header_schema(spark, path, sep, types)
-    return reader.schema(schema).option("enforceSchema", "false").csv(path)
+    text, cast = text_for_integers(schema)
+    return cast(reader.schema(text).option("enforceSchema", "false").csv(path))
+
+
+def text_for_integers(schema: T.StructType) -> tuple[T.StructType, Callable[[DataFrame], DataFrame]]:
+    """The schema with integer columns as text, and the cast back.
+
+    A CSV written from floating-point columns says ``745.0`` for 745, which
+    the reader would take for a malformed integer.
+    """
+    whole = {f.name: f.dataType.simpleString() for f in schema.fields if isinstance(f.dataType, T.IntegralType)}
+    text = T.StructType([T.StructField(f.name, T.StringType() if f.name in whole else f.dataType, True)
+                         for f in schema.fields])
+    return text, lambda df: cast_columns(df, whole)
 
 
 def _header_schema(spark: SparkSession, path: str, sep: str,

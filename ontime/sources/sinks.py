@@ -18,9 +18,12 @@ from pyspark.sql import DataFrame
 def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 mode: str = "overwrite", compression: str = "snappy",
                 max_records_per_file: int | None = None,
-                require_partition_columns: bool = False) -> list[str]:
+                require_partition_columns: bool = False, only_partitions: bool = False) -> list[str]:
     """Write a Parquet layer; returns the partition columns used.
 
+    An overwrite replaces the whole layer, whatever it held before; with
+    ``only_partitions`` it replaces just the partitions present in ``df``.
+
     ``partition_by`` keeps only the columns that exist (S11): a frame without
     them is written flat unless ``require_partition_columns`` is set.
     """
@@ -33,8 +36,8 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", int(max_records_per_file))
     if keys:
-        # Dynamic overwrite replaces only the partitions present in ``df``.
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*keys)
+        writer = writer.partitionBy(*keys)
+    writer = writer.option("partitionOverwriteMode", "dynamic" if only_partitions and keys else "static")
     writer.parquet(path)
     return keys
 

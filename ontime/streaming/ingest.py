@@ -11,22 +11,28 @@ checkpoint lives under the cluster's shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ontime.schema import PARTITION_KEYS, raw_schema_typed
 from ontime.session import scratch_path
-from ontime.sources.files import DEFAULT_NULL_TOKEN
+from ontime.sources.files import DEFAULT_NULL_TOKEN, text_for_integers
+
+
+#: Files written for a partition value in a trigger, at most.
+FILES_PER_PARTITION = 4
 
 
 def read_csv_stream(spark: SparkSession, csv_dir: str, schema: T.StructType | None = None,
                     null_value: str = DEFAULT_NULL_TOKEN, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming CSV source with the declared flight schema."""
-    reader = (spark.readStream.schema(schema or raw_schema_typed())
+    text, cast = text_for_integers(schema or raw_schema_typed())
+    reader = (spark.readStream.schema(text)
               .option("header", "true").option("nullValue", null_value).option("mode", "PERMISSIVE"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return reader.csv(csv_dir)
+    return cast(reader.csv(csv_dir))
 
 
 def ingest_stream(spark: SparkSession, csv_dir: str, out_path: str, checkpoint: str | None = None,
@@ -40,6 +46,10 @@ def ingest_stream(spark: SparkSession, csv_dir: str, out_path: str, checkpoint:
     keys = [k for k in (partition_by or PARTITION_KEYS) if k in src.columns]
     if keys:
         src = src.dropna(how="any", subset=keys)
+        # A few writers for each partition value: at most FILES_PER_PARTITION files of it a trigger, and a value
+        # that holds most rows is spread over as many tasks.
+        salt = F.pmod(F.xxhash64(*src.columns), F.lit(FILES_PER_PARTITION))
+        src = src.repartition(*keys, salt)
     writer = (src.writeStream.format("parquet")
               .option("path", out_path)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-checkpoint"))
