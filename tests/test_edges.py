@@ -167,21 +167,93 @@ def test_first_k_features_and_schema_frame(spark):
     assert C.numeric_columns(df, wanted=["s", "b", "zz"]) == ["b"]
 
 
-def test_correlation_engines_agree_and_degenerate_inputs(spark):
+def test_correlation_degenerate_inputs(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 1.0, 5.0), (4.0, 9.0, 5.0), (3.0, None, 5.0)],
                                "a double, b double, c double")
-    ml = {(r["col_x"], r["col_y"]): r["r"] for r in
-          P.correlation_matrix(df, ["a", "b", "c"], engine="ml").collect()}
-    sql = {(r["col_x"], r["col_y"]): r["r"] for r in P.correlation_matrix(df, ["a", "b", "c"]).collect()}
-    assert ml.keys() == sql.keys()
-    for k in [("a", "b"), ("b", "a"), ("a", "a"), ("b", "b")]:
-        assert ml[k] == pytest.approx(sql[k], abs=1e-12)
-    assert ml[("a", "c")] is None and sql[("a", "c")] is None and sql[("c", "c")] is None
+    got = {(r["col_x"], r["col_y"]): r["r"] for r in P.correlation_matrix(df, ["a", "b", "c"]).collect()}
+    want = df.dropna().select(F.corr("a", "b")).first()[0]
+    assert got[("a", "b")] == got[("b", "a")] == pytest.approx(want, abs=1e-12)
+    assert got[("a", "a")] == pytest.approx(1.0) and got[("a", "c")] is None and got[("c", "c")] is None
     one = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
-    empty = spark.createDataFrame([], "a double, b double")
-    for engine in ("sql", "ml"):
-        assert all(r["r"] is None for r in P.correlation_matrix(one, ["a", "b"], engine=engine).collect())
-        assert all(r["r"] is None for r in P.correlation_matrix(empty, ["a", "b"], engine=engine).collect())
+    for frame in (one, one.limit(0)):
+        assert all(r["r"] is None for r in P.correlation_matrix(frame, ["a", "b"]).collect())
+
+
+def test_correlation_of_many_columns_is_quick(spark):
+    import time
+
+    k = 100
+    rows = [tuple(float((i * (j + 3)) % (7 + j % 5)) for j in range(k)) for i in range(60)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{j} double" for j in range(k)))
+    start = time.monotonic()
+    assert P.correlation_matrix(df, df.columns).count() == k * k
+    assert time.monotonic() - start < 60
+
+
+def test_correlation_pairwise_uses_each_pairs_rows(spark):
+    rows = [(1.0, 2.0, None), (2.0, 1.0, 4.0), (4.0, 9.0, 1.0), (3.0, None, 2.0), (None, 5.0, 3.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    for r in P.correlation_pairwise(df, ["a", "b", "c"]).collect():
+        pair = df.select(r["col_x"], r["col_y"]).dropna()
+        want = pair.select(F.corr(r["col_x"], r["col_y"])).first()[0]
+        assert r["n"] == pair.count() and r["r"] == pytest.approx(want, abs=1e-12)
+
+
+INF = float("inf")
+
+
+def test_infinities_are_values_of_quantiles_and_outside_histograms(spark):
+    df = spark.createDataFrame([(-INF,), (1.0,), (2.0,), (3.0,), (INF,), (INF,)], "x double")
+    got = {r["probability"]: r["value"] for r in Q.quantiles_disc(df, ["x"], [0.0, 0.5, 1.0]).collect()}
+    assert got == {0.0: -INF, 0.5: 2.0, 1.0: INF}
+    assert P.describe_columns(df, ["x"]).first()["max"] == INF
+    assert sum(r["n"] for r in P.histogram(df, "x", bins=4).collect()) == 3
+    only = spark.createDataFrame([(INF,), (INF,)], "x double")
+    assert Q.quantiles_disc(only, ["x"], [0.5]).first()["value"] == INF
+    assert P.histogram(only, "x").count() == 0 and P.kde_grid(only, "x").count() == 0
+
+
+def test_histogram_keeps_empty_bins(spark):
+    df = spark.createDataFrame([(0.0,), (10.0,)], "x double")
+    rows = P.histogram(df, "x", bins=80).collect()
+    assert [r["bin"] for r in rows] == list(range(1, 81))
+    assert [r["n"] for r in rows] == [1] + [0] * 78 + [1]
+
+
+def test_crowded_bucket_is_split_until_it_fits_the_row_budget(spark, monkeypatch):
+    """One million distinct doubles, a small budget: no window partition above it."""
+    df = spark.range(1_000_000).select((F.col("id").cast("double") ** 1.5 + 0.25).alias("x"))
+    widest = []
+    plain = Q._rank_plan
+
+    def watched(vcb, hits, targets):
+        widest.append(hits.agg(F.max("values")).first()[0])
+        return plain(vcb, hits, targets)
+
+    monkeypatch.setattr(Q, "_rank_plan", watched)
+    got = {r["probability"]: r["value"] for r in
+           Q.quantiles_disc(df, ["x"], [0.1, 0.5, 0.999], buckets=8, row_budget=500).collect()}
+    assert got == {p: float(round(p * 1_000_000) - 1) ** 1.5 + 0.25 for p in (0.1, 0.5, 0.999)}
+    assert widest[0] <= 500
+
+
+def test_decimal_text_is_cut_to_integers(spark):
+    rows = [("745.0",), ("745.9",), ("-3.7",), ("NA",), ("NaN",), ("99999999999",), ("12",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r["t"] for r in C.cast_columns(df, {"t": "int"}).collect()]
+    assert got == [745, 745, -3, None, None, None, 12, None]
+    big = spark.createDataFrame([("9007199254740993",), ("5.5",)], "t string")
+    assert [r["t"] for r in C.cast_columns(big, {"t": "bigint"}).collect()] == [9007199254740993, 5]
+
+
+def test_enrich_joins_one_dimension_row_and_forces_no_broadcast(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, f string")
+    dim = spark.createDataFrame([(1, "x" * 5000), (1, "y"), (2, "z")], "k int, d string")
+    out = R.enrich(fact, dim, "k")
+    assert sorted((r["k"], r["d"][:1] if r["d"] else None) for r in out.collect()) == [(1, "x"), (2, "z"), (3, None)]
+    wide = spark.range(10).select(F.col("id").cast("int").alias("k"), F.repeat(F.lit("w"), 100_000).alias("d"))
+    plan = R.enrich(fact, wide, "k")._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan.lower()
 
 
 def test_kde_binned_close_to_exact(spark):

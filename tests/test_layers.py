@@ -8,7 +8,7 @@ import pytest
 
 from ontime.plans.registry import features, fl
 from ontime.plans.stages import etl_csv_to_parquet, load_and_clean, register_layer
-from ontime.session import local_os_path, scratch_path, shared_dir
+from ontime.session import is_local, scratch_path, shared_dir
 from ontime.sources import catalog as K
 from ontime.sources.files import path_exists, read_csv_raw, read_csv_typed, read_parquet
 from ontime.sources.sinks import cut_lineage, persisted, write_layer
@@ -64,6 +64,47 @@ def test_save_as_table_and_listing(spark):
     assert not K.table_exists(spark, "test_saved")
 
 
+def test_overwrite_replaces_the_whole_layer(spark):
+    df = features(spark, SF)
+    path = scratch_path(spark, "over")
+    write_layer(df, path)  # flat first, partitioned over it
+    write_layer(df, path, ["Year", "Month"])
+    assert read_parquet(spark, path).count() == df.count()
+    write_layer(df.filter("Month = 6"), path, ["Year", "Month"])
+    assert {r["Month"] for r in read_parquet(spark, path).select("Month").distinct().collect()} == {6}
+    write_layer(df.filter("Month = 7"), path, ["Year", "Month"], only_partitions=True)
+    assert {r["Month"] for r in read_parquet(spark, path).select("Month").distinct().collect()} == {6, 7}
+    write_layer(df.limit(0), path)
+    assert read_parquet(spark, path).count() == 0
+
+
+def test_save_as_table_refuses_its_own_input(spark):
+    path = scratch_path(spark, "own")
+    write_layer(features(spark, SF), path)
+    with pytest.raises(ValueError):
+        K.save_as_table(read_parquet(spark, path), "test_own", path)
+
+
+def test_load_first_returns_an_empty_table(spark):
+    path = scratch_path(spark, "empty-p")
+    write_layer(features(spark, SF).limit(0), path)
+    K.register_external(spark, "test_empty", path)
+    df, used = K.load_first(spark, [K.Candidate("table", "test_empty"), K.Candidate("parquet", f"{SF}/nation.parquet")])
+    assert used.kind == "table" and df.count() == 0
+
+
+def test_local_master_names():
+    assert is_local("local") and is_local("local[8]")
+    assert not is_local("local-cluster[3,2,1024]") and not is_local("yarn") and not is_local("spark://host:7077")
+
+
+def test_decimal_integers_in_csv(spark):
+    path = scratch_path(spark, "decimal")
+    spark.createDataFrame([("745.0", "3.0"), ("NA", "4")], "DepTime string, Month string").write.option(
+        "header", "true").csv(path)
+    assert sorted((r["DepTime"] or 0, r["Month"]) for r in read_csv_typed(spark, path).collect()) == [(0, 4), (745, 3)]
+
+
 def test_csv_raw_and_typed(spark):
     path = scratch_path(spark, "csv")
     fl(spark, SF).write.option("header", "true").csv(path)
@@ -104,7 +145,7 @@ def test_etl_and_load_and_clean_from_csv(spark):
     fl(spark, SF).write.option("header", "true").csv(csv)
     out = scratch_path(spark, "etl-out")
     assert etl_csv_to_parquet(spark, csv, out) == ["Year", "Month"]
-    assert any(name.startswith("Year=") for name in os.listdir(local_os_path(out)))
+    assert any(name.startswith("Year=") for name in os.listdir(out.removeprefix("file:")))
     clean, used = load_and_clean(spark, [K.Candidate("parquet", out)])
     assert used.kind == "parquet"
     assert clean.count() == read_parquet(spark, out).filter("ArrDelay IS NOT NULL").count()

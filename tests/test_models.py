@@ -79,8 +79,40 @@ def test_class_weights_balance(spark):
     assert tot[0.0] == pytest.approx(tot[1.0], rel=1e-9)
 
 
-def test_sample_or_limit_escalates(spark):
+def test_class_weights_leave_out_rows_without_target(spark):
+    df = spark.createDataFrame([(20.0,), (1.0,), (2.0,), (None,), (float("nan"),)], "ArrDelay double")
+    w = M.with_class_weight(df)
+    assert sorted((r["is_delayed"], r["class_weight"]) for r in w.collect()) == [(0.0, 0.75), (0.0, 0.75), (1.0, 1.5)]
+    alone = M.with_class_weight(df.filter("ArrDelay < 5"))
+    assert {r["class_weight"] for r in alone.collect()} == {1.0}
+
+
+def test_sample_or_limit_size_and_order(spark):
     df = clean(spark, SF)
-    s = S.sample_or_limit(df, fraction=1e-9, max_rows=50, seed=1)
-    assert s is not None and 0 < s.count() <= 50
-    assert S.sample_or_limit(df.limit(0), max_rows=5) is None
+    keys = ["l_orderkey", "l_linenumber"]
+    assert S.sample_or_limit(df, 1e-9, 50, keys).count() == 1
+    assert S.sample_or_limit(df, 0.5, 50, keys).count() == 50
+    assert S.sample_or_limit(df.limit(0), 0.5, 50, keys).count() == 0
+    ids = spark.range(5000)
+    assert S.sample_or_limit(ids, 0.5, 100, ["id"]).agg(F.max("id")).first()[0] > 4000
+
+
+@pytest.mark.parametrize("n", [50, 400, 600, 1000])
+def test_null_keys_are_sampled_and_split_like_any_other(spark, n):
+    df = spark.range(1000).select(F.when(F.col("id") % 10 != 0, F.col("id")).alias("k"), "id")
+    order = sorted(df.select(S.hash_unit("k").alias("h"), "k", "id").collect(),
+                   key=lambda r: (r["h"], r["k"] if r["k"] is not None else -1, r["id"]))
+    assert {r["id"] for r in S.sample_exact_n(df, n, ["k"]).collect()} == {r["id"] for r in order[:n]}
+    train, test = S.hash_split(df, 0.2, ["k"])
+    assert train.count() + test.count() == 1000
+
+
+def test_forest_is_the_same_for_any_input_layout(spark):
+    train, test = _train_test(spark, SF)
+    rows = train.collect()
+    found = set()
+    for parts in (1, 3, 8):
+        df = spark.createDataFrame(rows, train.schema).repartition(parts)
+        model = M.fit_persisted(M.random_forest(MODEL_FEATURES, num_trees=5, max_depth=4), df)
+        found.add(round(M.regression_metrics(model.transform(test)).first()["rmse"], 9))
+    assert len(found) == 1

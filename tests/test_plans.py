@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ontime.operators import cleaning as C
+from ontime.operators import ml as M
 from ontime.operators import profile as P
+from ontime.operators import quantiles as Q
 from ontime.operators import rates as R
 from ontime.plans import inspect as I
 from ontime.plans.registry import clean, features, fl, raw_features
@@ -23,6 +25,13 @@ def test_single_scan_reports(spark):
     assert I.file_scans(R.rate_grouping_sets(clean(spark, SF), ["Month", "DayOfWeek"])) == 1
 
 
+def test_source_scans_of_stage_five(spark):
+    """The plotted columns' histogram and density come from one scan of value counts, scaling from two."""
+    vc = Q.value_counts(features(spark, SF), ["ArrDelay"])
+    assert I.file_scans(vc) == 1
+    assert I.file_scans(M.impute_mean(features(spark, SF), ["DepTime"]).df) == 1
+
+
 def test_column_pruning_to_scan(spark):
     df = R.bucket_summary(clean(spark, SF))
     schemas = I.read_schemas(df)
