@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Element names by their role in HTML.
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -252,7 +253,7 @@ def extract(pages: DataFrame, html_column: str = "html", labelled: list[tuple[st
     tree = fit_tree(*labelled_rows(labelled))
     keep = [c for c in pages.columns if c not in (html_column, "text", "n_chars")]
     rows = pages.select(*keep, F.col(html_column).cast("string").alias("_html"))
-    kind = pages.select(*keep).schema.add("text", "string").add("n_chars", "bigint")
+    kind = pages.select(*keep).schema.add("text", T.StringType()).add("n_chars", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
