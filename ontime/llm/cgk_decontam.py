@@ -7,9 +7,9 @@ contains an item of m words if some stretch of it is within
 The corpus is read once per block of items; each task slides item-sized
 windows over its documents:
 
-1. Gate without loss: a window that starts where a match starts holds at least
-   m - 1 - 2d of the items' adjacent word pairs (d: allowed edits), because an
-   edit spoils at most two.  This is one prefix sum per text.
+1. Gate without loss: a window of m words that starts where a match starts
+   holds at least m - 1 - 2d of the adjacent word pairs of items that long (d:
+   allowed edits), because an edit spoils at most two.
 2. Windows that pass are embedded by a CGK random walk: at step t the output is
    the current word, and a random bit of (t, word) says whether to move on.
    Edit distance becomes Hamming distance between the walks of window and item.
@@ -43,6 +43,8 @@ RECALL = 0.99
 #: Words of items in a block, about.
 BLOCK_WORDS = 1_000_000
 SEED = 20_240_601
+#: Documents searched at a time in a task.
+ROWS = 8192
 
 _WORD = re.compile(r"\w+")
 
@@ -82,34 +84,36 @@ class ItemBlock:
         self.allowed = [int((1 - similarity) * len(x) + 1e-9) for x in self.items]
         self.pairs = np.unique(np.concatenate([x[:-1] * self.vocabulary + x[1:] for x in self.items]))
         self.lengths = sorted({len(x) for x in self.items})
+        # Of each length of item: which pairs its items have.
+        self.pair_lengths = {m: np.isin(self.pairs, np.concatenate(
+            [x[:-1] * self.vocabulary + x[1:] for x in self.items if len(x) == m])) for m in self.lengths}
         longest = self.lengths[-1]
         random = np.random.default_rng(seed)
         self.reps = repetitions(recall)
         # A word's random bit at step t of repetition r; code -1 (no word of any item) and -2 (past the end) too.
-        self.mix = random.integers(1, 1 << 62, size=(self.reps, 3 * longest, 2), dtype=np.int64) | 1
-        self.steps = {m: np.sort(np.stack([random.choice(3 * m, size=min(SAMPLES, 3 * m), replace=False)
-                                           for _ in range(self.reps)]), axis=1) for m in self.lengths}
+        self.mix = random.integers(1, 1 << 62, size=(self.reps, 2 * longest, 2), dtype=np.int64) | 1
+        # A walk reads a word every other step on average; steps after its end would agree for all items.
+        self.steps = {m: np.stack([random.choice(2 * m - m // 4, size=SAMPLES, replace=False)
+                                   for _ in range(self.reps)]) for m in self.lengths}
         self.keys: dict[int, list[dict[int, list[int]]]] = {m: [{} for _ in range(self.reps)] for m in self.lengths}
         for m in self.lengths:
             own = [k for k, x in enumerate(self.items) if len(x) == m]
             flat = np.concatenate([self.items[k] for k in own])
-            for r in range(self.reps):
-                for k, key in zip(own, self.walk(flat, np.arange(len(own)) * m, m, r).tolist(), strict=True):
-                    self.keys[m][r].setdefault(key, []).append(k)
-
-    def walk(self, flat: np.ndarray, starts: np.ndarray, m: int, r: int) -> np.ndarray:
-        """LSH key of repetition r for the windows of m words at ``starts`` of ``flat``."""
-        at = np.zeros(len(starts), dtype=np.int64)
-        key = np.zeros(len(starts), dtype=np.int64)
-        sampled = set(self.steps[m][r].tolist())
-        last = len(flat) - 1
-        with np.errstate(over="ignore"):
-            for t in range(int(self.steps[m][r][-1]) + 1):
-                word = np.where(at < m, flat[np.minimum(starts + at, last)], -2)
-                if t in sampled:
-                    key = key * 1_000_003 + word + 3
-                a, b = self.mix[r, t]
-                at += ((word + 3) * a + b >> 40) & 1
+            for table, keys in zip(self.keys[m], self.walk(flat, np.arange(len(own)) * m, m), strict=True):
+                for k, key in zip(own, keys.tolist(), strict=True):
+                    table.setdefault(key, []).append(k)
+
+    def walk(self, flat: np.ndarray, starts: np.ndarray, m: int) -> np.ndarray:
+        """LSH keys (repetition by window) for the windows of m words at ``starts`` of ``flat``."""
+        at = np.zeros((self.reps, len(starts)), dtype=np.int64)
+        key = np.zeros_like(at)
+        last, steps = len(flat) - 1, self.steps[m]
+        for t in range(int(steps.max()) + 1):
+            word = np.where(at < m, flat[np.minimum(starts + at, last)], -2) + 3
+            sampled = (steps == t).any(axis=1)
+            if sampled.any():
+                key[sampled] = key[sampled] * 1_000_003 + word[sampled]
+            at += (word * self.mix[:, t, :1] + self.mix[:, t, 1:] >> 40) & 1
         return key
 
     def search(self, flat: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
@@ -124,24 +128,33 @@ class ItemBlock:
         both = (flat[:-1] >= 0) & (flat[1:] >= 0)
         code = flat[:-1][both] * self.vocabulary + flat[1:][both]
         spot = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
-        hit = np.zeros(len(flat) + 1, dtype=np.int32)
-        hit[1:-1][both] = self.pairs[spot] == code
-        hit[ends] = 0  # a pair across two documents is none
-        sums = np.concatenate([[0], np.cumsum(hit, dtype=np.int64)])  # sums[i]: pairs that end before i
+        ends_at = np.flatnonzero(both)[self.pairs[spot] == code] + 1  # place of a pair's second word
+        pair = spot[self.pairs[spot] == code]
+        inside = ~np.isin(ends_at, ends)  # a pair across two documents is none
+        ends_at, pair = ends_at[inside], pair[inside]
         found: dict[tuple[int, int], set[int]] = {}
         for m in self.lengths:
-            least = m - 1 - 2 * int((1 - self.similarity) * m + 1e-9)
-            stop = np.minimum(np.arange(len(flat)) + m, len(flat))
-            starts = np.flatnonzero(sums[stop] - sums[1:len(flat) + 1] >= least)
+            own = ends_at[self.pair_lengths[m][pair]]
+            least = max(m - 1 - 2 * int((1 - self.similarity) * m + 1e-9), 1)
+            if len(own) < least:
+                continue
+            # Runs of ``least`` pairs that fit in a window, and the starts of the windows that hold them.
+            first, final = own[: len(own) - least + 1], own[least - 1:]
+            close = final - first <= m - 2
+            low, high = np.maximum(final[close] - m + 1, 0), first[close]
+            marks = np.zeros(len(flat) + 1, dtype=np.int32)
+            np.add.at(marks, low, 1)
+            np.add.at(marks, high, -1)
+            starts = np.flatnonzero(np.cumsum(marks)) if close.any() else low
             if not len(starts):
                 continue
             owner = np.searchsorted(ends, starts, side="right")
-            for r in range(self.reps):
-                keys = self.walk(flat, starts, m, r)
-                table = self.keys[m][r]
-                for p in np.flatnonzero(np.isin(keys, np.fromiter(table, np.int64, len(table)))):
-                    for k in table[int(keys[p])]:
-                        found.setdefault((int(owner[p]), k), set()).add(int(starts[p]))
+            for low in range(0, len(starts), 8192):
+                part = starts[low:low + 8192]
+                for table, keys in zip(self.keys[m], self.walk(flat, part, m), strict=True):
+                    for p in np.flatnonzero(np.isin(keys, np.fromiter(table, np.int64, len(table)))):
+                        for k in table[int(keys[p])]:
+                            found.setdefault((int(owner[low + p]), k), set()).add(int(part[p]))
         for (o, k), places in found.items():
             m, d = len(self.items[k]), self.allowed[k]
             best = None
@@ -209,8 +222,8 @@ def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", t
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             block = sent.value
             for batch in batches:
-                for low in range(0, batch.num_rows, 512):
-                    part = batch.slice(low, 512)
+                for low in range(0, batch.num_rows, ROWS):
+                    part = batch.slice(low, ROWS)
                     best: dict[tuple[int, int], tuple] = {}
                     for o, k, start, end, distance in _searched(part, 1, block):
                         row = (1 - distance / len(block.items[k]), start, end, distance)
@@ -238,8 +251,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_column: str = "text",
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, at=at) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for low in range(0, batch.num_rows, 512):
-                    part = batch.slice(low, 512)
+                for low in range(0, batch.num_rows, ROWS):
+                    part = batch.slice(low, ROWS)
                     bad = {o for o, *_ in _searched(part, at, sent.value)}
                     yield part.filter(pa.array([o not in bad for o in range(part.num_rows)], type=pa.bool_()))
 
