@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,10 @@ def _spans(kind: str, pattern: str, group: int) -> Column:
                            x["e"].alias("end"), F.regexp_extract(x["m"], pattern, group).alias("value")))
 
 
+def _long_enough(least: int) -> Callable[[Column], Column]:
+    return lambda span: F.length(span["value"]) >= least
+
+
 def find_spans(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """Adds ``base``: array of (kind, start, end, value), code points, end exclusive, in no set order."""
     out = docs.withColumn("_t", text_or_empty(text_column))
@@ -57,7 +63,7 @@ def find_spans(docs: DataFrame, text_column: str = "text") -> DataFrame:
             F.split("_t", pattern, -1), F.lit(1), F.size(f"{kind}_m"))).otherwise(F.array().cast("array<string>")))
     found = [_spans(k, p, 2 if k == "assign" else 0) for k, p in patterns.items()]
     least = {"assign": LEAST_VALUE, "access": LEAST_ACCESS, "hex": 0}
-    found = [F.filter(s, lambda x, n=least[k]: F.length(x["value"]) >= n) for s, k in zip(found, patterns, strict=True)]
+    found = [F.filter(s, _long_enough(least[k])) for s, k in zip(found, patterns, strict=True)]
     return out.withColumn("base", F.concat(*found)).drop("_t", *(f"{k}_{x}" for k in patterns for x in "mp"))
 
 
