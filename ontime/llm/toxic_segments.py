@@ -12,9 +12,10 @@
    scoring segments of a document's words.
 3. Extreme values: for random text the best segment of n words follows a
    Gumbel law with location ln(K n) / lambda.  lambda solves
-   E[exp(lambda s)] = 1 over the clean words; K, scale and the weight of
-   further segments are fitted by a logistic calibration on sampled rows kept
-   out of the counts.  The result is a probability.
+   E[exp(lambda s)] = 1 over the clean words, K is the rate at which they begin
+   a segment; a logistic calibration of -ln E (E: segments so good expected by
+   chance) and of the further segments gives a probability.  All three are
+   fitted on sampled rows kept out of the counts.
 
 The feature space has CELLS cells, so the model's size is bounded whatever
 the corpus; documents are scored where they are read, without shuffle.
@@ -97,8 +98,9 @@ class Model:
     def __init__(self, toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> None:
         self.toxic, self.clean = (np.minimum(x, 65535).astype(np.uint16) for x in (toxic, clean))
         self.share = min(max(n_toxic / max(n_toxic + n_clean, 1), 1e-6), 1 - 1e-6)
-        self.rate = 1.0
-        self.coefficients = np.array([-20.0, 0.0, 0.0, 0.0])
+        # Gumbel law of clean text: lambda, and segments begun per word (K); coefficients of the calibration.
+        self.rate, self.k = 1.0, 1.0
+        self.coefficients = np.array([-20.0, 0.0, 0.0])
 
     def word_score(self, word: str) -> float:
         q, a, b = self.share, 1.0, 1.0
@@ -119,14 +121,19 @@ class Model:
         return np.fromiter(map(known.__getitem__, words), dtype=np.float64, count=len(words))
 
     def describe(self, text: str | None, known: dict[str, float]) -> tuple[np.ndarray, list[tuple[int, int, float]]]:
-        """Calibration features (1, lambda * best score, ln n, ln(1 + other significant)) and reported segments."""
+        """Calibration features and reported segments.
+
+        Features: 1; -ln E, at least 0, of the best segment; ln(1 + lambda * score of the others).  E = K n
+        exp(-lambda s) is the number of segments that good expected in so many clean words.
+        """
         words = words_of(text)
-        n = max(len(words), 1)
         segments = maximal_segments(self.scores(words, known))
-        found = [s for s in segments if n * math.exp(-min(self.rate * s[2], 700)) <= REPORT_EXPECTED]
+        level = math.log(self.k * max(len(words), 1))
+        surprise = [self.rate * s[2] - level for s in segments]
+        found = [s for s, x in zip(segments, surprise, strict=True) if x >= -math.log(REPORT_EXPECTED)]
         best = max((s[2] for s in segments), default=0.0)
-        total = sum(s[2] for s in segments) - best
-        return np.array([1.0, self.rate * best, math.log(n), math.log1p(self.rate * total)]), found
+        others = sum(s[2] for s in segments) - best
+        return np.array([1.0, max([0.0, *surprise]), math.log1p(self.rate * others)]), found
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(x @ self.coefficients, -60, 60)))
@@ -143,7 +150,7 @@ def _rate(scores: np.ndarray) -> float:
     return high
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
     """Ridge-regularised logistic coefficients by Newton steps."""
     w = np.zeros(x.shape[1])
     penalty = ridge * np.eye(len(w))
@@ -240,23 +247,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
         s, n = spread["s"].to_numpy(), spread["n"].to_numpy()
         parts = np.maximum((n / n.sum() * 200_000).astype(int), 1)
         model.rate = _rate(np.repeat(s, parts))
+        model.k = float((n[s > 0].sum() + 0.5) / (n.sum() + 1))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for batch in batches:
-            x = np.array([model.describe(t, known)[0] for t in batch.column(0).to_pylist()]).reshape(-1, 4)
-            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, i]) for i in range(4)), batch.column(1)],
-                                             names=["a", "b", "c", "d", "y"])
+            x = np.array([model.describe(t, known)[0] for t in batch.column(0).to_pylist()]).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[:, i]) for i in range(3)), batch.column(1)],
+                                             names=["a", "b", "c", "y"])
 
-    found = held.mapInArrow(describe, "a double, b double, c double, d double, y int").toArrow()
+    found = held.mapInArrow(describe, "a double, b double, c double, y int").toArrow()
     y = (found["y"].to_numpy() == 1).astype(float)
     if 0 < y.sum() < len(y):
-        x = np.column_stack([found[c].to_numpy() for c in "abcd"])
+        x = np.column_stack([found[c].to_numpy() for c in "abc"])
         model.coefficients = _logistic(x, y)
     # With the calibration fitted on rows it hadn't counted, the model may count them too.
     every = counts[:2] + counts[2:]
     final = Model(every[0, :-1], every[1, :-1], int(every[0, -1]), int(every[1, -1]))
-    final.rate, final.coefficients = model.rate, model.coefficients
+    final.rate, final.k, final.coefficients = model.rate, model.k, model.coefficients
     return final
 
 
@@ -274,7 +282,7 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column:
         model, known = sent.value, {}
         for batch in batches:
             both = [model.describe(t, known) for t in batch.column(1).to_pylist()]
-            p = model.probability(np.array([x for x, _ in both]).reshape(-1, 4))
+            p = model.probability(np.array([x for x, _ in both]).reshape(-1, 3))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array([s for _, s in both], arrow)],
                                              names=[id_column, "score", "passages"])
 
@@ -290,7 +298,7 @@ def keep_clean(docs: DataFrame, model: Model, text_column: str = "text", thresho
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = sent.value, {}
         for batch in batches:
-            x = np.array([model.describe(t, known)[0] for t in batch.column(at).to_pylist()]).reshape(-1, 4)
+            x = np.array([model.describe(t, known)[0] for t in batch.column(at).to_pylist()]).reshape(-1, 3)
             yield batch.filter(pa.array(model.probability(x) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
