@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,12 +45,12 @@ def _fold(keep_largest: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             new[0] = True
             for name in ("shard", "run", "digest", "check", "size"):
                 values = table[name].combine_chunks()
-                new[1:] |= np.asarray(pa.compute.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False),
+                new[1:] |= np.asarray(pc.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False),
                                       dtype=bool)
             first = np.flatnonzero(new)
             # Null ids rank below every id, so an identified row is kept first.
             low = np.iinfo(np.int64).min if keep_largest else np.iinfo(np.int64).max
-            ids = pa.compute.fill_null(table["keep_id"].combine_chunks(), int(low)).to_numpy()
+            ids = pc.fill_null(table["keep_id"].combine_chunks(), int(low)).to_numpy()
             kept = (np.maximum if keep_largest else np.minimum).reduceat(ids, first)
             n = np.add.reduceat(table["n"].to_numpy(), first)
             out = table.take(pa.array(first))
