@@ -12,6 +12,8 @@ from ontime.llm.bin_completion import pack_documents
 from ontime.llm.cgk_decontam import contaminated
 from ontime.llm.common import read
 from ontime.llm.exact_runs import exact_dedup
+from ontime.llm.fill_middle import ORACLE_SQL as FILL_SQL
+from ontime.llm.fill_middle import fill_in_middle, restore
 from ontime.llm.fuzzy_lines import dedup_lines
 from ontime.llm.html_blocks import extract
 from ontime.llm.secret_scan import KINDS, scan, spans_text
@@ -108,6 +110,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query("op12_fill_middle", FILL_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(restore("output", "form"), 256).alias("restored_sha256"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
