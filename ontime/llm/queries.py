@@ -16,6 +16,7 @@ from ontime.llm.fill_middle import ORACLE_SQL as FILL_SQL
 from ontime.llm.fill_middle import fill_in_middle, restore
 from ontime.llm.fuzzy_lines import dedup_lines
 from ontime.llm.html_blocks import extract
+from ontime.llm.robust_outliers import quality
 from ontime.llm.secret_scan import KINDS, scan, spans_text
 from ontime.llm.secret_scan import ORACLE_SQL as SECRETS_SQL
 from ontime.llm.simhash_trie import near_duplicates
@@ -145,6 +146,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(restore("output", "form"), 256).alias("restored_sha256"))
 
 
+@query("op13_robust_outliers")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
