@@ -84,12 +84,14 @@ def fill_in_middle(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def restore(output: str | Column, form: str | Column) -> Column:
-    """The text that ``output`` was made of: its parts stand between marks the text itself doesn't hold."""
+    """The text that ``output`` was made of: its parts stand between marks the text itself doesn't hold.
+
+    Split one byte a character, so that texts of any bytes come back as they were.
+    """
     out, form = (F.col(c) if isinstance(c, str) else c for c in (output, form))
-    parts = F.split(out, f"{PREFIX}|{SUFFIX}|{MIDDLE}", -1)
-    part = lambda i: F.element_at(parts, i)
-    return (F.when(form == "psm", F.concat(part(2), part(4), part(3)))
-            .when(form == "spm", F.concat(part(3), part(4), part(2))).otherwise(out))
+    parts = F.split(F.decode(out.cast("binary"), "ISO-8859-1"), f"{PREFIX}|{SUFFIX}|{MIDDLE}", -1)
+    join = lambda *order: F.encode(F.concat(*[F.element_at(parts, i) for i in order]), "ISO-8859-1").cast("string")
+    return F.when(form == "psm", join(2, 4, 3)).when(form == "spm", join(3, 4, 2)).otherwise(out)
 
 
 ORACLE_SQL = r"""
