@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF_ORACLE, SF_SMALL
 from oracle_compare import compare
+from paths import SF_ORACLE, SF_SMALL
 
 import __spark_entry__ as entry
 
