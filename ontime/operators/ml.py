@@ -148,11 +148,12 @@ def iterative_linear(features: list[str], label: str = LABEL, max_iter: int = 10
     return linear_regression(features, label, max_iter=max_iter, reg_param=0.0, solver="l-bfgs", scale=True)
 
 
-def delay_classifier(features: list[str], label: str = "is_delayed",
-                     weight_col: str | None = "class_weight") -> Pipeline:
+def delay_classifier(features: list[str], label: str = "is_delayed", weight_col: str | None = "class_weight",
+                     max_iter: int = 50, tol: float = 1e-6) -> Pipeline:
     """Logistic model of the flag that ``with_class_weight`` adds, with its class weights."""
     stages = [VectorAssembler(inputCols=features, outputCol="features_vec", handleInvalid="skip"),
-              LogisticRegression(featuresCol="features_vec", labelCol=label, weightCol=weight_col or None, maxIter=50)]
+              LogisticRegression(featuresCol="features_vec", labelCol=label, weightCol=weight_col or None,
+                                 maxIter=max_iter, tol=tol)]
     return Pipeline(stages=stages)
 
 
@@ -222,19 +223,25 @@ def score_rows(model: PipelineModel, df: DataFrame, label: str = LABEL, keep: li
     return model.transform(df).select(*(keep or []), label, "prediction")
 
 
-#: Partitions of a train set unless the caller says otherwise; raise it with the data.
-TRAIN_PARTITIONS = 16
+#: Partitions of a train set: one for so many rows, and no fewer than the least.
+TRAIN_PARTITION_ROWS, LEAST_TRAIN_PARTITIONS = 1_000_000, 16
 
 
-def fit_persisted(pipeline: Pipeline, train: DataFrame, partitions: int = TRAIN_PARTITIONS) -> PipelineModel:
+def train_partitions(rows: int) -> int:
+    return max(LEAST_TRAIN_PARTITIONS, -(-rows // TRAIN_PARTITION_ROWS))
+
+
+def fit_persisted(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) -> PipelineModel:
     """Fit on a cached train set of one layout (memory, spilling to disk), released after.
 
     Estimators pass over their input many times, and a forest's bagging draws
     by partition and row position.  The rows are therefore always dealt by the
     hash of all columns to ``partitions`` partitions and sorted in them: the
     fitted model depends on that number, not on files, cores or upstream
-    shuffles.
+    shuffles.  Unless stated it follows from the number of rows
+    (``train_partitions``), which costs one count.
     """
+    partitions = partitions or train_partitions(train.count())
     laid_out = train.repartition(partitions, *train.columns).sortWithinPartitions(*train.columns)
     cached = laid_out.persist(StorageLevel.MEMORY_AND_DISK)
     try:

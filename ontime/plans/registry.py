@@ -24,6 +24,7 @@ from ontime.functions.expressions import (
     minutes_of_day,
 )
 from ontime.operators import cleaning as C
+from ontime.operators import gradient as G
 from ontime.operators import ml as M
 from ontime.operators import profile as P
 from ontime.operators import quantiles as Q
@@ -1017,6 +1018,90 @@ def q_iterative_linear(spark, d):
     return M.regression_metrics(model.transform(test)).withColumns({c: F.round(c, 3) for c in ("rmse", "r2", "mae")})
 
 
+TRAIN_STEPS = G.Optimiser(rate=0.5)
+TRAIN_BATCHES, TRAIN_EPOCHS = 8, 3
+
+
+def _adam_sql(features: list[str]) -> str:
+    """The same training by a recursive query: a step's gradient comes from its batch's matrix of products, not its rows."""
+    p, opt = len(features), TRAIN_STEPS
+    z = [*(f"z{i}" for i in range(p)), "1.0"]
+    gram = "[" + ", ".join("[" + ", ".join(f"SUM({a} * {b})" for b in z) + "]" for a in z) + "]"
+    pull = "[" + ", ".join(f"SUM({a} * {LABEL})" for a in z) + "]"
+    scaled = ", ".join(f"({c} - AVG({c}) OVER ()) / STDDEV_POP({c}) OVER () AS z{i}" for i, c in enumerate(features))
+    zeros = "[" + ", ".join("0.0::DOUBLE" for _ in z) + "]"
+    steps = TRAIN_BATCHES * TRAIN_EPOCHS
+    blend = lambda old, new, b: f"list_transform(list_zip({old}, {new}), lambda x: {b} * x[1] + {1 - b!r} * x[2])"
+    ctes = (f"tr AS (SELECT {LABEL}, {HASH_KEY} % {TRAIN_BATCHES} AS batch, {scaled} FROM mx WHERE {HASH_KEY} >= {TEST_BOUND}), "
+            f"products AS (SELECT batch, COUNT(*) AS n, {gram} AS g, {pull} AS c, SUM({LABEL} * {LABEL}) AS yy FROM tr GROUP BY batch), "
+            f"run(step, w, m, v, n, loss) AS (SELECT 0, {zeros}, {zeros}, {zeros}, 0::BIGINT, 0.0::DOUBLE UNION ALL "
+            f"SELECT step + 1, list_transform(list_zip(w, m2, v2), lambda x: x[1] - {opt.rate} * (x[2] / (1 - pow({opt.beta1}, step + 1))) "
+            f"/ (sqrt(x[3] / (1 - pow({opt.beta2}, step + 1))) + {opt.epsilon})), m2, v2, n2, loss2 FROM ("
+            f"SELECT step, w, {blend('m', 'slope', opt.beta1)} AS m2, "
+            f"{blend('v', 'list_transform(slope, lambda e: e * e)', opt.beta2)} AS v2, n2, loss2 FROM ("
+            "SELECT step, w, m, v, p.n AS n2, "
+            "(list_dot_product(w, list_transform(p.g, lambda row: list_dot_product(row, w))) - 2 * list_dot_product(w, p.c) + p.yy) / p.n AS loss2, "
+            "list_transform(list_zip(list_transform(p.g, lambda row: list_dot_product(row, w)), p.c), lambda x: 2 * (x[1] - x[2]) / p.n) AS slope "
+            f"FROM run JOIN products p ON p.batch = step % {TRAIN_BATCHES} WHERE step < {steps})))")
+    body = (f"SELECT CAST(step AS INT) AS step, CAST((step - 1) // {TRAIN_BATCHES} + 1 AS INT) AS epoch, n, round(loss, 6) AS loss, "
+            + ", ".join(f"round(w[{i + 1}], 6) AS w_{c}" for i, c in enumerate([*features, "intercept"])) + " FROM run WHERE step > 0")
+    return with_ctes(body, "clean", extra=MODEL_FEATURE_CTE + ", " + ctes).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+# Rows that reach the models, with all eight features.
+MODEL_FEATURE_CTE = (
+    "mx AS (SELECT * FROM (SELECT l_orderkey, l_linenumber, TRY_CAST(DepDelay AS DOUBLE) AS DepDelay, "
+    "CAST(Distance AS DOUBLE) AS Distance, CAST(TaxiIn AS DOUBLE) AS TaxiIn, CAST(TaxiOut AS DOUBLE) AS TaxiOut, "
+    "CAST(trunc(TRY_CAST(DepTime AS DOUBLE) / 100) AS DOUBLE) AS DepHour, CAST(trunc(TRY_CAST(ArrTime AS DOUBLE) / 100) AS DOUBLE) "
+    "AS ArrHour, CAST(DayOfWeek AS DOUBLE) AS DayOfWeek, CAST(Month AS DOUBLE) AS Month, ArrDelay FROM clean WHERE Cancelled = 0) "
+    "WHERE DepDelay IS NOT NULL AND DepHour IS NOT NULL AND ArrHour IS NOT NULL)")
+
+
+def _trace(spark, d, features):
+    train, _ = _train_test(spark, d)
+    layer = G.train_linear(spark, G.deal_batches(train, features, LABEL, KEYS, TRAIN_BATCHES), TRAIN_EPOCHS, TRAIN_STEPS)
+    names = [f"w_{c}" for c in [*features, "intercept"]]
+    return layer.trace_frame(spark).select("step", "epoch", "n", r6("loss").alias("loss"),
+                                           *[F.round(F.get("weights", F.lit(i)), 6).alias(n) for i, n in enumerate(names)])
+
+
+@query("gradient_trace", _adam_sql(["DepDelay"]))
+def q_gradient_trace(spark, d):
+    """Adam on one feature: loss and weights after every step on hash-dealt mini-batches (M9)."""
+    return _trace(spark, d, ["DepDelay"])
+
+
+@query("gradient_trace_features", _adam_sql(MODEL_FEATURES))
+def q_gradient_trace_features(spark, d):
+    """The same layer over all eight model features (M9)."""
+    return _trace(spark, d, MODEL_FEATURES)
+
+
+def _certificate(gradient: DataFrame) -> DataFrame:
+    # + 0.0 turns a rounded -0.0 into 0.
+    return gradient.select("component", (F.round("gradient", 6) + F.lit(0.0)).alias("gradient"))
+
+
+@query("linear_regression_certificate", " UNION ALL ".join(
+    f"SELECT '{c}' AS component, CAST(0 AS DOUBLE) AS gradient" for c in [*MODEL_FEATURES, "intercept"]))
+def q_linear_regression_certificate(spark, d):
+    """Gradient of the penalised loss at the fitted eight-feature regression: zero in every component (M5)."""
+    train, _ = _train_test(spark, d)
+    lr = _fit(M.linear_regression(MODEL_FEATURES, max_iter=50, reg_param=0.1), train).stages[-1]
+    return _certificate(G.squared_loss_gradient(train, MODEL_FEATURES, LABEL, list(lr.coefficients), lr.intercept, 0.1))
+
+
+@query("delay_classifier_certificate", " UNION ALL ".join(
+    f"SELECT '{c}' AS component, CAST(0 AS DOUBLE) AS gradient" for c in [*MODEL_FEATURES, "intercept"]))
+def q_delay_classifier_certificate(spark, d):
+    """Gradient of the weighted logistic loss at the fitted classifier: zero in every component."""
+    train, _ = _train_test(spark, d)
+    weighted = M.with_class_weight(train)
+    model = _fit(M.delay_classifier(MODEL_FEATURES, max_iter=200, tol=1e-12), weighted).stages[-1]
+    return _certificate(G.logistic_loss_gradient(weighted, MODEL_FEATURES, "is_delayed", list(model.coefficients),
+                                                 model.intercept, "class_weight"))
+
+
 @query("score_rows", with_ctes(
     "SELECT l_orderkey, l_linenumber, ArrDelay, round(a + b * DepDelay, 6) AS prediction FROM mi, ols WHERE part = 'test'",
     "clean", extra=MODEL_CTES + RIDGE_CTE))
