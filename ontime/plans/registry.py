@@ -30,6 +30,7 @@ from ontime.operators import profile as P
 from ontime.operators import quantiles as Q
 from ontime.operators import rates as R
 from ontime.operators import sampling as S
+from ontime.operators import sketches as K
 from ontime.plans.oracle import HASH_KEY, TEST_BOUND, null_safe_hash, with_ctes
 from ontime.plans.stages import load_and_clean, transformed_layer
 from ontime.schema import (
@@ -515,14 +516,36 @@ def q_quantiles_approx(spark, d):
     """Approximate quantiles and whether their rank, counted in the data, is within the stated error."""
     error = 0.001
     df = features(spark, d)
-    found = Q.quantiles_approx(df, QUANTILE_COLS, PROBS, error)  # 21 rows
-    values = Q.long_values(df, QUANTILE_COLS).join(F.broadcast(found), "column")
-    ranks = values.groupBy("column", "probability").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("v") < F.col("value")).alias("below"),
-        F.count_if(F.col("v") <= F.col("value")).alias("upto"))
-    goal, slack = F.col("probability") * F.col("n"), F.lit(error) * F.col("n") + 1
-    within = (F.col("below") <= goal + slack) & (F.col("upto") >= goal - slack)
-    return ranks.select("column", "probability", "n", within.alias("within"))
+    return K.ranks_within(df, Q.quantiles_approx(df, QUANTILE_COLS, PROBS, error), error)
+
+
+def _stored_sketches(spark, d) -> DataFrame:
+    """Sketches by year and month, stored in two loads of which the second is repeated."""
+    path, df = scratch_path(spark, "sketches"), features(spark, d)
+    K.store_sketches(df.filter("Month <= 6"), QUANTILE_COLS, PARTITION_KEYS, path, "first half")
+    for _ in range(2):
+        K.store_sketches(df.filter("Month > 6"), QUANTILE_COLS, PARTITION_KEYS, path, "second half")
+    return K.read_sketches(spark, path)
+
+
+@query("quantiles_merged", with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({p!r} AS DOUBLE) AS probability, COUNT({c}) AS n, TRUE AS within "
+    "FROM features WHERE Month BETWEEN 3 AND 9" for c in QUANTILE_COLS for p in PROBS), "features"))
+def q_quantiles_merged(spark, d):
+    """March to September from stored monthly sketches; the ranks of the answers, counted in the rows, are within the error."""
+    found = K.merged_quantiles(_stored_sketches(spark, d).filter("Month BETWEEN 3 AND 9"), PROBS)
+    found = spark.createDataFrame(found.collect(), found.schema)  # columns x probabilities
+    return K.ranks_within(features(spark, d).filter("Month BETWEEN 3 AND 9"), found, K.rank_error())
+
+
+@query("sketch_bounds_by_year", with_ctes(" UNION ALL ".join(
+    f"SELECT Year, '{c}' AS \"column\", COUNT({c}) AS n, MIN({c}) AS least, MAX({c}) AS greatest FROM features "
+    f"GROUP BY Year HAVING COUNT({c}) > 0" for c in QUANTILE_COLS), "features"))
+def q_sketch_bounds_by_year(spark, d):
+    """Exact counts and bounds of each year from the stored sketches of its months."""
+    found = K.merged_quantiles(_stored_sketches(spark, d), [0.0, 1.0], ["Year"])
+    at = lambda p: F.max(F.when(F.col("probability") == p, F.col("value")))
+    return found.groupBy("Year", "column", "n").agg(at(0.0).alias("least"), at(1.0).alias("greatest"))
 
 
 @query("iqr", with_ctes(
