@@ -10,8 +10,11 @@ as a small long-form DataFrame.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
@@ -201,27 +204,60 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 def correlation_pairwise(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every unordered pair over the rows where both are real, with their number.
 
-    ``(col_x, col_y, n, r)``, one aggregate; each pair has its own count, sums
-    and squares, taken about the column means for stability.  For many
-    columns use ``correlation_matrix``: this is k * k expressions.
+    ``(col_x, col_y, n, r)``.  A task turns its rows into a matrix of values
+    about the column means (0 where missing) and a matrix of masks; all pairs'
+    counts, sums, squares and products are four matrix products a batch, summed
+    over the task and then by pair in one aggregate.  A task holds and sends
+    ``len(columns)`` squared numbers however many rows it reads.  ``r`` is null
+    without spread or where an infinite value is met; null and NaN are missing.
     """
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    data = data.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in columns])
-    means = data.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    centre = {c: F.col(c) - F.lit(means[c] if means[c] is not None else 0.0) for c in columns}
-    structs = []
-    for i, a in enumerate(columns):
-        for b in columns[i + 1:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            x, y = F.when(both, centre[a]), F.when(both, centre[b])
-            structs.append(F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), F.count_if(both).alias("n"),
-                                    F.sum(x).alias("sx"), F.sum(y).alias("sy"), F.sum(x * x).alias("sxx"),
-                                    F.sum(y * y).alias("syy"), F.sum(x * y).alias("sxy")))
-    sums = data.agg(F.array(*structs).alias("s")).select(F.inline("s"))
+    data = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    real = [F.when(~F.isnan(c) & (F.abs(F.col(c)) < F.lit(math.inf)), F.col(c)) for c in data.columns]
+    means = data.agg(*[F.avg(c).alias(n) for c, n in zip(real, data.columns, strict=True)]).first() if columns else ()
+    sums = (data.mapInArrow(_masked_products([m or 0.0 for m in means]), _PAIR_SUMS)
+            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "odd", "sx", "sy", "sxx", "syy", "sxy")]))
     n = F.col("n").cast("double")
-    var_x, var_y = (F.greatest(n * F.col(f"s{v}{v}") - F.col(f"s{v}") * F.col(f"s{v}"), F.lit(0.0)) for v in "xy")
-    r = F.try_divide(n * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(var_x) * F.sqrt(var_y))
-    return sums.select("col_x", "col_y", "n", r.alias("r"))
+    # A variance lost in the rounding of its sums is none: the column is constant over the pair's rows.
+    var_x, var_y = (F.when(v > F.lit(ROUNDING) * n * F.col(ss), v) for v, ss in (
+        (n * F.col(ss) - F.col(s) * F.col(s), ss) for s, ss in (("sx", "sxx"), ("sy", "syy"))))
+    r = (n * F.col("sxy") - F.col("sx") * F.col("sy")) / (F.sqrt(var_x) * F.sqrt(var_y))
+    names = F.array(*[F.lit(c) for c in columns])
+    k = len(columns)
+    spine = df.sparkSession.range(k * k).select((F.col("id") / F.lit(max(k, 1))).cast("int").alias("a"),
+                                                (F.col("id") % F.lit(max(k, 1))).cast("int").alias("b")).filter("a < b")
+    # Both sides hold a row a pair; a pair without common rows has n = 0.
+    return (spine.join(sums, (F.col("a") == F.col("i")) & (F.col("b") == F.col("j")), "left")
+            .select(F.get(names, F.col("a")).alias("col_x"), F.get(names, F.col("b")).alias("col_y"),
+                    F.coalesce("n", F.lit(0)).cast("bigint").alias("n"), F.when(F.col("odd") == 0, r).alias("r")))
+
+
+#: Share of a sum of squares below which a difference of sums is rounding.
+ROUNDING = 1e-12
+_PAIR_SUMS = "i int, j int, n bigint, odd bigint, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def _masked_products(means: list[float]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task's sums for all pairs i < j of its columns, in one batch at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(means)
+        total = np.zeros((5, k, k))
+        for batch in batches:
+            if not batch.num_rows or not k:
+                continue
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - means
+            there, finite = ~np.isnan(x), np.isfinite(x)
+            mask, odd, v = there.astype(float), (there & ~finite).astype(float), np.where(finite, x, 0.0)
+            # Rows: both there; either infinite; sums and squares of the first; products.
+            total += [mask.T @ mask, odd.T @ mask + mask.T @ odd, v.T @ mask, (v * v).T @ mask, v.T @ v]
+        i, j = np.triu_indices(k, 1)
+        n, odd, s, ss, p = total
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(n[i, j].astype(np.int64)),
+             pa.array(odd[i, j].astype(np.int64)), *(pa.array(a) for a in (s[i, j], s[j, i], ss[i, j], ss[j, i], p[i, j]))],
+            names=["i", "j", "n", "odd", "sx", "sy", "sxx", "syy", "sxy"])
+
+    return run
 
 
 @dataclass(frozen=True)

@@ -707,6 +707,16 @@ def q_correlation_pairwise(spark, d):
     return out.select("col_x", "col_y", "n", r6("r").alias("r"))
 
 
+@query("correlation_pairwise_features", with_ctes(" UNION ALL ".join(
+    f"SELECT '{a}' AS col_x, '{b}' AS col_y, COUNT(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS n, "
+    f"round(CASE WHEN isfinite(corr({a}, {b})) THEN corr({a}, {b}) END, 6) AS r FROM fl_typed"
+    for i, a in enumerate(FEATURE_COLUMNS) for b in FEATURE_COLUMNS[i + 1:]), "fl_typed"))
+def q_correlation_pairwise_features(spark, d):
+    """All pairs of the 14 feature columns as read, each over the rows where both are there."""
+    out = P.correlation_pairwise(raw_features(spark, d), FEATURE_COLUMNS)
+    return out.select("col_x", "col_y", "n", r6("r").alias("r"))
+
+
 def _clip_ctes(cols: list[str]) -> str:
     return ", ".join(
         f"b_{c} AS (SELECT quantile_cont({c}, 0.01) AS lo, quantile_cont({c}, 0.99) AS hi FROM features), "
