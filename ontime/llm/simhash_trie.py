@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,6 +36,8 @@ BLOCKS = 4
 BLOCK_BITS = 16
 #: Fingerprints in a chunk of a wide top node, about.
 SPLIT_ROWS = 1024
+#: Pairs of fingerprints compared at a time; bounds a task's arrays.
+CELLS = 1 << 17
 
 
 def simhash(text: bytes, shingle: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -101,15 +102,15 @@ def trie_pairs(values: np.ndarray, roots: np.ndarray, bit: int = 63, budget: int
                     keep &= ~same  # a node met with itself has this pair as (0, 1) already
                 children.append(child[keep])
         nodes = np.concatenate(children)
-        frontier += [(bit - 1, nodes[i:i + (1 << 16)]) for i in range(0, len(nodes), 1 << 16)]
+        frontier += [(bit - 1, nodes[i:i + (1 << 14)]) for i in range(0, len(nodes), 1 << 14)]
 
 
 def _leaf_pairs(values: np.ndarray, nodes: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Compare all cells of small node pairs, about a million cells at a time."""
+    """Compare all cells of small node pairs, ``CELLS`` at a time."""
     width = nodes[:, 3] - nodes[:, 2]
     ends = np.cumsum((nodes[:, 1] - nodes[:, 0]) * width)
-    for low in range(0, int(ends[-1]) if len(ends) else 0, 1 << 20):
-        cell = np.arange(low, min(low + (1 << 20), int(ends[-1])))
+    for low in range(0, int(ends[-1]) if len(ends) else 0, CELLS):
+        cell = np.arange(low, min(low + CELLS, int(ends[-1])))
         row = np.searchsorted(ends, cell, side="right")
         at = cell - np.where(row, ends[row - 1], 0)
         i, j = nodes[row, 0] + at // width[row], nodes[row, 2] + at % width[row]
@@ -142,36 +143,37 @@ def spanning_links(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np
     return root
 
 
-def _join_groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _join_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links inside the node pairs of one partition; rows come sorted by group, side, key."""
     keys = ["rotation", "top", "a", "b"]
 
-    def links(rows: pd.DataFrame) -> pd.DataFrame:
-        ids = rows[keys].to_numpy()
+    def links(ids: np.ndarray, side: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
         start = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]).any(axis=1)])
-        end = np.r_[start[1:], len(rows)]
-        side = rows["side"].to_numpy()
+        end = np.r_[start[1:], len(ids)]
         ones = np.add.reduceat((side == 1).astype(np.int64), start)
         own = side[start] == 2
         roots = np.column_stack([start, np.where(own, end, end - ones), np.where(own, start, end - ones), end])
-        values = rows["key"].to_numpy().view(np.uint64)
-        root = spanning_links(len(rows), trie_pairs(values, roots, 63 - BLOCK_BITS))
-        linked = np.flatnonzero(root != np.arange(len(rows)))
-        turn = rows["rotation"].to_numpy()[linked].astype(np.uint64) * np.uint64(BLOCK_BITS)
+        values = key.view(np.uint64)
+        root = spanning_links(len(ids), trie_pairs(values, roots, 63 - BLOCK_BITS))
+        linked = np.flatnonzero(root != np.arange(len(ids)))
+        turn = ids[linked, 0].astype(np.uint64) * np.uint64(BLOCK_BITS)
         rest = (np.uint64(64) - turn) % np.uint64(64)
-        back = lambda x: ((x >> turn) | (x << rest)).view(np.int64)
-        return pd.DataFrame({"src": back(values[linked]), "dst": back(values[root[linked]])})
-
-    held = None
-    for frame in frames:
-        rows = frame if held is None else pd.concat([held, frame], ignore_index=True)
-        last = (rows[keys].to_numpy() == rows[keys].iloc[-1].to_numpy()).all(axis=1)
-        cut = int(np.argmax(last))  # the last group may go on in the next batch
+        back = lambda x: pa.array(((x >> turn) | (x << rest)).view(np.int64))
+        return pa.RecordBatch.from_arrays([back(values[linked]), back(values[root[linked]])], names=["src", "dst"])
+
+    held = None  # the rows of the last group, which may go on in the next batch
+    for batch in batches:
+        rows = [np.column_stack([batch.column(k).to_numpy().astype(np.int64) for k in keys]),
+                batch.column("side").to_numpy(), batch.column("key").to_numpy()]
+        rows = rows if held is None else [np.concatenate(x) for x in zip(held, rows, strict=True)]
+        if not len(rows[0]):
+            continue
+        cut = int(np.argmax((rows[0] == rows[0][-1]).all(axis=1)))
         if cut:
-            yield links(rows.iloc[:cut])
-        held = rows.iloc[cut:]
-    if held is not None and len(held):
-        yield links(held.reset_index(drop=True))
+            yield links(*(x[:cut] for x in rows))
+        held = [x[cut:].copy() for x in rows]
+    if held is not None and len(held[0]):
+        yield links(*held)
 
 
 def fingerprint_links(fps: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
@@ -195,7 +197,7 @@ def fingerprint_links(fps: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame
                        side.alias("side"), "key")
     group = ["rotation", "top", "a", "b"]
     return (rows.repartition(*group).sortWithinPartitions(*group, "side", "key")
-            .mapInPandas(_join_groups, "src bigint, dst bigint"))
+            .mapInArrow(_join_groups, "src bigint, dst bigint"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
