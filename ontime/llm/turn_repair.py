@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ontime.llm.common import materialize
+from ontime.llm.common import materialize, shuffle_partitions
 
 #: Rows searched as one piece.
 CHUNK = 64
@@ -223,7 +223,10 @@ def repairs(rows: DataFrame) -> DataFrame:
     """(conv_id, chunk, cost, edits): the cheapest repair of each conversation of ``faults`` rows, in pieces."""
     kind = rows.schema["conv_id"].dataType.simpleString()
     letters = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "letter"))), lambda x: x["letter"]), "")
-    pieces = rows.groupBy("conv_id", F.floor(F.col("pos") / CHUNK).cast("int").alias("chunk")).agg(letters.alias("letters"))
+    # A stated number of partitions: letters are few bytes, but each is searched, so they must not be merged by size.
+    pieces = (rows.select("conv_id", F.floor(F.col("pos") / CHUNK).cast("int").alias("chunk"), "pos", "letter")
+              .repartition(shuffle_partitions(rows.sparkSession), "conv_id", "chunk")
+              .groupBy("conv_id", "chunk").agg(letters.alias("letters")))
     found = pieces.mapInArrow(_search_chunks, f"conv_id {kind}, chunk int, "
                               "found array<struct<start: int, end: int, cost: bigint, edits: string>>")
 
