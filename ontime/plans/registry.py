@@ -55,6 +55,7 @@ from ontime.sources.catalog import (
 )
 from ontime.sources.files import path_exists, read_csv_raw, read_csv_typed, read_parquet
 from ontime.sources.fixture import flights, flights_from_lineitem, read_table, table_path
+from ontime.sources.reconcile import conflict_report, reconciled_scan, reconciled_table, schema_groups
 from ontime.sources.sinks import write_layer
 from ontime.streaming import ingest_stream, run_until_caught_up
 
@@ -204,6 +205,53 @@ def q_merge_schema_scan(spark, d):
     return read_parquet(spark, path, merge_schema=True).select("l_orderkey", "Distance", "TaxiIn")
 
 
+def _conflicting_layers(spark, d) -> str:
+    """A layer by month whose types changed twice: integers, then text, then other numbers and another column."""
+    path, rows = scratch_path(spark, "conflicting"), fl(spark, d)
+    whole, number = (lambda c: F.col(c).try_cast("int").alias(c)), (lambda c: F.col(c).try_cast("double").alias(c))
+    parts = [(1, 4, [whole("Distance"), number("DepDelay"), whole("TaxiIn")]),
+             (5, 8, [F.col("Distance").cast("bigint").alias("Distance"), F.col("DepDelay"), number("TaxiIn")]),
+             (9, 12, [number("Distance"), whole("DepDelay"), F.col("UniqueCarrier")])]
+    for low, high, columns in parts:
+        part = rows.filter(F.col("Month").between(low, high)).select(*KEYS, *columns, "Month")
+        write_layer(part, path, ["Month"], mode="append")
+    return path
+
+
+RECONCILED = ("SELECT l_orderkey, l_linenumber, CAST(Distance AS DOUBLE) AS Distance, TRY_CAST(DepDelay AS DOUBLE) AS DepDelay, "
+              "CASE WHEN Month <= 8 THEN CAST(TaxiIn AS DOUBLE) END AS TaxiIn, CASE WHEN Month >= 9 THEN UniqueCarrier END "
+              "AS UniqueCarrier, Month FROM fl")
+
+
+@query("reconciled_scan", with_ctes(RECONCILED, "fl"))
+def q_reconciled_scan(spark, d):
+    """Files that disagree on types read as one table; the delay, text in some, is asked for as a number."""
+    return reconciled_scan(spark, _conflicting_layers(spark, d), {"DepDelay": T.DoubleType()})
+
+
+@query("schema_conflicts", "SELECT * FROM (VALUES ('Distance', 'int', 'double'), ('Distance', 'bigint', 'double'), "
+       "('Distance', 'double', 'double'), ('DepDelay', 'double', 'string'), ('DepDelay', 'string', 'string'), "
+       "('DepDelay', 'int', 'string'), ('TaxiIn', 'int', 'double'), ('TaxiIn', 'double', 'double')) v(\"column\", \"type\", target)")
+def q_schema_conflicts(spark, d):
+    """The columns whose types differ between the files, and the type that holds them all."""
+    return conflict_report(schema_groups(spark, _conflicting_layers(spark, d)), spark).drop("files")
+
+
+@query("declared_table", with_ctes(
+    "SELECT c AS \"column\", t AS \"type\", n FROM (VALUES " + ", ".join(
+        f"('{c}', '{t}', (SELECT COUNT({c}) FROM rec))" for c, t in [
+            ("l_orderkey", "bigint"), ("l_linenumber", "int"), ("Distance", "double"), ("DepDelay", "double"),
+            ("TaxiIn", "double"), ("UniqueCarrier", "string"), ("Month", "int")]) + ") v(c, t, n)", "fl",
+    extra=f"rec AS ({RECONCILED})"))
+def q_declared_table(spark, d):
+    """The reconciled layer as a table with generated column types (S13): its catalog types and values by column."""
+    table = reconciled_table(spark, _conflicting_layers(spark, d), "ontime_declared", scratch_path(spark, "declared"), ["Month"],
+                             {"DepDelay": T.DoubleType()})
+    types = {c.name: c.dataType for c in spark.catalog.listColumns("ontime_declared")}
+    counts = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("type"), F.count(c).alias("n")) for c in table.columns])
+    return table.agg(counts.alias("c")).select(F.inline("c"))
+
+
 @query("flat_without_keys", with_ctes("SELECT DepDelay, ArrDelay FROM features", "features"))
 def q_flat_without_keys(spark, d):
     """A layer without its partition columns is written flat."""

@@ -12,6 +12,7 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ontime.sources.files import path_exists, read_csv_typed, read_parquet
 
@@ -20,6 +21,11 @@ def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+def sql_text(value: str) -> str:
+    """A SQL text literal of any value."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
@@ -71,7 +77,25 @@ def register_external(spark: SparkSession, table: str, path: str, replace: bool
     """
     if replace:
         drop_table(spark, table)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quote(table)} USING PARQUET LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quote(table)} USING PARQUET LOCATION {sql_text(path)}")
+    recover_partitions(spark, table)
+    refresh(spark, table)
+    return spark.table(table)
+
+
+def table_ddl(table: str, path: str, schema: T.StructType, partition_by: list[str] | None = None) -> str:
+    """``CREATE TABLE`` of an external Parquet folder with every column declared, types in full."""
+    columns = ",\n  ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    keys = ", ".join(f"`{k}`" for k in partition_by or [])
+    return (f"CREATE TABLE {_quote(table)} (\n  {columns}\n) USING PARQUET"
+            + (f"\nPARTITIONED BY ({keys})" if keys else "") + f"\nLOCATION {sql_text(path)}")
+
+
+def declare_table(spark: SparkSession, table: str, path: str, schema: T.StructType,
+                  partition_by: list[str] | None = None) -> DataFrame:
+    """Replace ``table`` by a declared external table over ``path`` (S13): no file is read to learn its columns."""
+    drop_table(spark, table)
+    spark.sql(table_ddl(table, path, schema, partition_by))
     recover_partitions(spark, table)
     refresh(spark, table)
     return spark.table(table)
