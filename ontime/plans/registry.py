@@ -51,11 +51,14 @@ from ontime.sources.catalog import (
     refresh,
     register_external,
     save_as_table,
+    save_bucketed,
     scan_table,
+    sync_partitions,
 )
 from ontime.sources.files import path_exists, read_csv_raw, read_csv_typed, read_parquet
 from ontime.sources.fixture import flights, flights_from_lineitem, read_table, table_path
 from ontime.sources.reconcile import conflict_report, reconciled_scan, reconciled_table, schema_groups
+from ontime.sources.rejects import ingest_csv
 from ontime.sources.sinks import write_layer
 from ontime.streaming import ingest_stream, run_until_caught_up
 
@@ -252,6 +255,96 @@ def q_declared_table(spark, d):
     return table.agg(counts.alias("c")).select(F.inline("c"))
 
 
+def _fl_schema(spark, d) -> T.StructType:
+    schema = raw_schema_typed(list(FL_TYPES_EXTRA.items()))
+    return T.StructType([schema[c] for c in fl(spark, d).columns])
+
+
+def _damaged_csv(spark, d) -> str:
+    """The flight CSV with damaged lines: text in a number, a field too many, a field too few."""
+    path, rows = scratch_path(spark, "damaged-csv"), fl(spark, d)
+    rows.filter("l_orderkey % 31 > 2").write.option("header", "true").csv(path)
+    line = F.concat_ws(",", *[F.when(F.lit(c) == "Distance", F.concat(c, F.when(F.col("l_orderkey") % 31 == 0, " miles").otherwise("")))
+                              .otherwise(F.col(c).cast("string")) for c in rows.columns[:-1]])
+    end = F.when(F.col("l_orderkey") % 31 == 1, F.concat(F.lit(","), "l_linenumber", F.lit(",surplus"))) \
+        .when(F.col("l_orderkey") % 31 == 2, "").otherwise(F.concat(F.lit(","), "l_linenumber"))
+    rows.filter("l_orderkey % 31 <= 2").select(F.concat(line, end).alias("value")).write.mode("append").text(path)
+    return path
+
+
+_LINE_SQL = ("DepTime || ',' || CRSDepTime || ',' || ArrTime || ',' || CRSArrTime || ',' || DepDelay || ',' || ArrDelay || ',' || Distance "
+             "|| CASE WHEN l_orderkey % 31 = 0 THEN ' miles' ELSE '' END || ',' || Cancelled || ',' || TaxiIn || ',' || TaxiOut || ',' "
+             "|| UniqueCarrier || ',' || Origin || ',' || l_orderkey || CASE l_orderkey % 31 WHEN 0 THEN ',' || l_linenumber "
+             "WHEN 1 THEN ',' || l_linenumber || ',surplus' ELSE '' END")
+
+
+@query("csv_rejects", with_ctes(
+    f"SELECT Year || ',' || Month || ',' || DayofMonth || ',' || DayOfWeek || ',' || {_LINE_SQL} AS line, "
+    "CASE WHEN l_orderkey % 31 = 0 THEN 'Distance: ' || Distance || ' miles' ELSE 'fields' END AS reason FROM fl "
+    "WHERE l_orderkey % 31 <= 2", "fl"))
+def q_csv_rejects(spark, d):
+    """The rejected lines of a damaged CSV with their reasons, written in the pass that writes the accepted rows."""
+    found = ingest_csv(spark, _damaged_csv(spark, d), scratch_path(spark, "checked"), _fl_schema(spark, d), PARTITION_KEYS)
+    return found.rejected.select("line", F.concat_ws("; ", "reasons").alias("reason"))
+
+
+@query("csv_accepted", with_ctes("SELECT * FROM fl_typed WHERE l_orderkey % 31 > 2", "fl_typed"))
+def q_csv_accepted(spark, d):
+    """The accepted rows of the same CSV, typed."""
+    return ingest_csv(spark, _damaged_csv(spark, d), scratch_path(spark, "checked"), _fl_schema(spark, d), PARTITION_KEYS).accepted
+
+
+def _changed_layer(spark, d, table: str) -> None:
+    """A registered layer of the first six months whose files were then replaced by those of March to September."""
+    path = scratch_path(spark, "changed")
+    write_layer(features(spark, d).filter("Month <= 6"), path, PARTITION_KEYS)
+    register_external(spark, table, path)
+    write_layer(features(spark, d).filter("Month BETWEEN 3 AND 9"), path, PARTITION_KEYS)
+
+
+@query("partition_diff", with_ctes(
+    "SELECT DISTINCT 'Year=' || Year || '/Month=' || Month AS \"partition\", CASE WHEN Month <= 2 THEN 'drop' ELSE 'add' END AS change "
+    "FROM features WHERE Month IN (1, 2, 7, 8, 9)", "features"))
+def q_partition_diff(spark, d):
+    """Partitions that the catalog is told of after months came and went, and no others."""
+    _changed_layer(spark, d, "ontime_changed")
+    return sync_partitions(spark, "ontime_changed")
+
+
+@query("partition_sync_count", with_ctes(
+    "SELECT Year, Month, COUNT(*) AS cnt FROM features WHERE Month BETWEEN 3 AND 9 GROUP BY Year, Month", "features"))
+def q_partition_sync_count(spark, d):
+    """Rows by partition of the table brought into step."""
+    _changed_layer(spark, d, "ontime_synced")
+    sync_partitions(spark, "ontime_synced")
+    return P.count_by(scan_table(spark, "ontime_synced"), PARTITION_KEYS)
+
+
+BUCKETS = 8
+
+
+@query("bucketed_counts", with_ctes(
+    "SELECT Origin, COUNT(*) AS n, round(AVG(ArrDelay), 6) AS avg_delay FROM clean GROUP BY Origin", "clean"))
+def q_bucketed_counts(spark, d):
+    """Counts by origin from a table bucketed by origin: aggregated where the rows lie."""
+    table = save_bucketed(clean(spark, d).select("Origin", "ArrDelay"), "ontime_bucketed", scratch_path(spark, "bucketed"),
+                          ["Origin"], BUCKETS)
+    return table.groupBy("Origin").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("ArrDelay")).alias("avg_delay"))
+
+
+@query("bucketed_join", with_ctes(
+    "SELECT o_orderpriority, COUNT(*) AS n, round(AVG(ArrDelay), 6) AS avg_delay FROM clean JOIN orders ON l_orderkey = o_orderkey "
+    "GROUP BY o_orderpriority", "clean"))
+def q_bucketed_join(spark, d):
+    """Flights and orders, both bucketed by order, joined without a shuffle of either."""
+    left = save_bucketed(clean(spark, d).select("l_orderkey", "ArrDelay"), "ontime_flights_by_order",
+                         scratch_path(spark, "bucketed"), ["l_orderkey"], BUCKETS)
+    right = save_bucketed(read_table(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "ontime_orders_by_order",
+                          scratch_path(spark, "bucketed"), ["o_orderkey"], BUCKETS)
+    joined = left.hint("merge").join(right, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"), r6(F.avg("ArrDelay")).alias("avg_delay"))
+
+
 @query("flat_without_keys", with_ctes("SELECT DepDelay, ArrDelay FROM features", "features"))
 def q_flat_without_keys(spark, d):
     """A layer without its partition columns is written flat."""

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ontime.sources.files import path_exists, read_csv_typed, read_parquet
@@ -59,6 +61,60 @@ def recover_partitions(spark: SparkSession, table: str) -> bool:
     return True
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(table)}").filter("col_name = 'Location'").collect()
+    if not rows:
+        raise ValueError(f"{table} has no location")
+    return rows[0]["data_type"]
+
+
+def partition_diff(spark: SparkSession, table: str) -> DataFrame:
+    """``(partition, change)``: folders with files that the catalog lacks (``add``), and the reverse (``drop``).
+
+    ``partition`` is the folder name, ``Year=2006/Month=1``.  Files are listed by
+    Spark, and the two sides meet in a join.
+    """
+    keys = partition_columns(spark, table)
+    if not keys:
+        return spark.createDataFrame([], "partition string, change string")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "[!._]*")
+             .load(table_location(spark, table)).select("path"))
+    level = "/".join(f"{re.escape(k)}=[^/]*" for k in keys)
+    folders = files.select(F.regexp_extract("path", f"/({level})/[^/]+$", 1).alias("partition")).filter("partition <> ''").distinct()
+    known = spark.sql(f"SHOW PARTITIONS {_quote(table)}").select(F.col("partition").alias("known"))
+    both = folders.join(known, F.col("partition") == F.col("known"), "full_outer").filter("partition IS NULL OR known IS NULL")
+    return both.select(F.coalesce("partition", "known").alias("partition"),
+                       F.when(F.col("known").isNull(), "add").otherwise("drop").alias("change"))
+
+
+def _partition_spec(partition: str) -> str:
+    """SQL of a folder name; Hive's name for a null value is null."""
+    parts = []
+    for part in partition.split("/"):
+        key, value = (unquote(x) for x in part.split("=", 1))
+        parts.append(f"`{key}` = " + ("NULL" if value == "__HIVE_DEFAULT_PARTITION__" else sql_text(value)))
+    return f"PARTITION ({', '.join(parts)})"
+
+
+#: Partitions named in one statement.
+SPECS_PER_STATEMENT = 200
+
+
+def sync_partitions(spark: SparkSession, table: str) -> DataFrame:
+    """Add and drop just the partitions of ``partition_diff`` and return them; a table in step costs one listing.
+
+    Only the differences reach the driver, as the catalog is told of each.
+    """
+    changes = partition_diff(spark, table).collect()
+    for change, words, between in (("drop", "DROP IF EXISTS", ", "), ("add", "ADD IF NOT EXISTS", " ")):
+        specs = [_partition_spec(r["partition"]) for r in changes if r["change"] == change]
+        for start in range(0, len(specs), SPECS_PER_STATEMENT):
+            spark.sql(f"ALTER TABLE {_quote(table)} {words} {between.join(specs[start:start + SPECS_PER_STATEMENT])}")
+    if changes:
+        refresh(spark, table)
+    return spark.createDataFrame([tuple(r) for r in changes], "partition string, change string")
+
+
 def refresh(spark: SparkSession, table: str) -> None:
     """Drop cached file listings and metadata of a table."""
     spark.catalog.refreshTable(table)
@@ -121,6 +177,22 @@ def save_as_table(df: DataFrame, table: str, path: str, partition_by: list[str]
     return df.sparkSession.table(table)
 
 
+def save_bucketed(df: DataFrame, table: str, path: str, by: list[str], buckets: int,
+                  sort_by: list[str] | None = None) -> DataFrame:
+    """Write and register a table hashed into ``buckets`` by ``by`` and sorted in them.
+
+    Later joins and aggregates on ``by`` read it without a shuffle (joins: with
+    a table of as many buckets).  Rows are rebalanced by bucket first, so a
+    bucket is one file unless it is large, and a hot one is written by several
+    tasks.  Choose ``buckets`` for the data: the bytes of one should fit a task.
+    """
+    bucket = F.pmod(F.hash(*by), F.lit(buckets))  # the hash that bucketing uses
+    drop_table(df.sparkSession, table)
+    (df.withColumn("__bucket", bucket).hint("rebalance", "__bucket").drop("__bucket").write.format("parquet").mode("overwrite").option("path", path)
+     .bucketBy(buckets, *by).sortBy(*(sort_by or by)).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 @dataclass(frozen=True)
 class Candidate:
     """One place data may live: ``kind`` is ``table``, ``parquet`` or ``csv``."""
