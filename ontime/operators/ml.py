@@ -129,12 +129,13 @@ def linear_regression(features: list[str], label: str = LABEL, max_iter: int = 5
 
 
 def random_forest(features: list[str], label: str = LABEL, num_trees: int = 50, max_depth: int = 8,
-                  seed: int = 42) -> Pipeline:
-    """Assembler + ``RandomForestRegressor`` (M6)."""
+                  seed: int = 42, max_bins: int = 32, subset: str = "auto", bagging: bool = True) -> Pipeline:
+    """Assembler + ``RandomForestRegressor`` (M6); ``max_bins`` thresholds a feature, ``subset`` of features a split."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=features, outputCol="features_vec", handleInvalid="skip"),
         RandomForestRegressor(featuresCol="features_vec", labelCol=label, numTrees=num_trees,
-                              maxDepth=max_depth, seed=seed),
+                              maxDepth=max_depth, seed=seed, maxBins=max_bins, featureSubsetStrategy=subset,
+                              bootstrap=bagging),
     ])
 
 

@@ -372,6 +372,57 @@ def densities(counts: DataFrame, columns: list[str], gridsize: int = 200, cut: f
             .orderBy("column", "gi"))
 
 
+#: Greatest second derivative of the standard normal density, in absolute value.
+KERNEL_BEND = 1.0 / math.sqrt(2.0 * math.pi)
+
+
+def binned_counts(df: DataFrame, columns: list[str], known: dict[str, Spread], tolerance: float) -> DataFrame:
+    """``(column, v, n)``: each value's weight shared between its two neighbours on an even grid, summed by grid point.
+
+    The grid starts at the least value; its spacing keeps a Gaussian density of
+    Scott's bandwidth h within ``tolerance / h`` of that of the values
+    themselves: sharing errs by at most spacing^2 / 8 times the kernel's second
+    derivative.  Grid points are the keys of one map-side combined aggregate,
+    so a continuous column shuffles no more rows than the grid has points.
+    """
+    parts = []
+    for i, c in enumerate(columns):
+        s = known.get(c)
+        if s is None or s.n < 2 or not s.sd:
+            continue
+        step = s.sd * s.n ** (-1.0 / 5.0) * math.sqrt(8.0 * tolerance / KERNEL_BEND)
+        at = (F.col(f"`{c}`").cast("double") - F.lit(s.lo)) / F.lit(step)
+        parts.append(F.struct(F.lit(i).alias("column"), at.alias("at"), F.lit(s.lo).alias("lo"), F.lit(step).alias("step")))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column int, v double, n double")
+    rows = df.select(F.inline(F.array(*parts))).filter(
+        F.col("at").isNotNull() & ~F.isnan("at") & (F.abs(F.col("at")) < F.lit(math.inf)))
+    low = F.floor("at")
+    share = F.col("at") - low
+    ends = F.array(F.struct(low.alias("k"), (F.lit(1.0) - share).alias("w")), F.struct((low + 1).alias("k"), share.alias("w")))
+    return (rows.select("column", "lo", "step", F.inline(ends)).filter("w > 0").groupBy("column", "lo", "step", "k")
+            .agg(F.sum("w").alias("n")).select("column", (F.col("lo") + F.col("k") * F.col("step")).alias("v"), "n"))
+
+
+def densities_binned(df: DataFrame, columns: list[str], gridsize: int = 200, cut: float = 3.0,
+                     tolerance: float = 1e-7) -> DataFrame:
+    """``densities`` without counting distinct values (A15): two scans, work bounded by the grids for any column.
+
+    One aggregate gives count, bounds and deviation of each column's finite
+    values, ``binned_counts`` the weights that the kernel is summed over.
+    """
+    known = finite_spreads(df, columns)
+    return densities(binned_counts(df, columns, known, tolerance), columns, gridsize, cut, known=known)
+
+
+def finite_spreads(df: DataFrame, columns: list[str]) -> dict[str, Spread]:
+    """``Spread`` of each column's finite values, by one aggregate."""
+    finite = {c: F.when(F.abs(F.col(f"`{c}`").cast("double")) < F.lit(math.inf), F.col(f"`{c}`").cast("double")) for c in columns}
+    row = df.agg(*[F.struct(F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"), F.stddev_samp(v).alias("sd"))
+                   .alias(f"s{i}") for i, v in enumerate(finite.values())]).first()
+    return {c: Spread(**row[f"s{i}"].asDict()) for i, c in enumerate(columns) if row[f"s{i}"]["n"]}
+
+
 def kde_grid(df: DataFrame, column: str, gridsize: int = 200, cut: float = 3.0,
              bins: int | None = None) -> DataFrame:
     """``densities`` of one column (A15): ``(gi, x, density)``."""

@@ -162,7 +162,7 @@ def _bucketed(vc: DataFrame, columns: list[str], bounds: dict[int, list[float]])
     wide = vc.withColumns({ins[i]: _key(i).otherwise(F.lit(0.0)) for i in range(len(columns))})
     bucketed = Bucketizer(splitsArray=splits, inputCols=ins, outputCols=outs).transform(wide)
     bucket = F.coalesce(*[_key(i, outs[i]) for i in range(len(columns))])
-    return bucketed.select("column", "v", "n", bucket.alias("bucket"))
+    return bucketed.select(*vc.columns, bucket.alias("bucket"))
 
 
 def _hit_buckets(vcb: DataFrame, targets: dict[str, callable]) -> DataFrame:

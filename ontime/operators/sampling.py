@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.expressions import hash_fraction_predicate, hash_unit
+from ontime.sources.sinks import cut_lineage
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -47,36 +48,67 @@ def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[Da
     return df.randomSplit(weights, seed=seed)
 
 
-#: Hash bounds tried for an exact-n sample: 2^32 halved up to so many times.
-HALVINGS = 32
+#: Bits of the key hash, and of the prefix its first histogram is over.
+HASH_BITS, PREFIX_BITS = 32, 16
 
 
 def sample_exact_n(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     """Exactly ``min(n, rows)`` rows with the smallest key hashes (O8); a sampling operator.
 
-    A plain ``orderBy(...).limit(n)`` makes every task send its own top ``n``
-    rows to one merging task (tasks x n rows).  One counting pass therefore
-    finds the smallest of the bounds 2^32, 2^31, 2^30 ... under which at least
-    ``n`` hashes lie; the top ``n`` is taken among those rows.  Every other row
-    hashes higher, so the result is that of the plain ordering, while the
-    final merge sees about 2n rows.  Ties in the hash are broken by every
-    column, so the result does not depend on row order.  Rows with null keys
-    have a hash like any other.
+    A histogram of hash prefixes (65,536 counts) finds the prefix in which the
+    n-th smallest hash lies, a second one inside that prefix the hash itself.
+    Every row with a smaller hash is kept where it is; only rows of that very
+    hash are ranked, by every column, so the result does not depend on row
+    order.  No task merges the sample, however large ``n`` is.  Rows with null
+    keys have a hash like any other.
     """
     h = hash_unit(*keys)
-    return _smallest(df, h, n, _counts_below(df, h))
-
-
-def _counts_below(df: DataFrame, h: Column) -> list[int]:
-    """Rows whose hash is under 2^32 / 2^i, for each i, in one pass."""
-    row = df.agg(*[F.count_if(h < F.lit(1 << (32 - i))).alias(f"c{i}") for i in range(HALVINGS)]).first()
-    return [row[f"c{i}"] for i in range(HALVINGS)]
-
-
-def _smallest(df: DataFrame, h: Column, n: int, below: list[int]) -> DataFrame:
-    enough = max((i for i, c in enumerate(below) if c >= n), default=0)
-    cand = df.filter(h < F.lit(1 << (32 - enough))) if enough else df
-    return cand.orderBy(h, *[F.col(c) for c in df.columns]).limit(n)
+    return _smallest(df, h, n, _histogram(df, F.shiftright(h, HASH_BITS - PREFIX_BITS)))
+
+
+def _histogram(df: DataFrame, bucket: Column) -> list[tuple[int, int]]:
+    """(bucket, rows) in bucket order; at most ``2^PREFIX_BITS`` rows."""
+    return sorted((r["b"], r["count"]) for r in df.groupBy(bucket.alias("b")).count().collect())
+
+
+def _cut(histogram: list[tuple[int, int]], n: int) -> tuple[int, int, int] | None:
+    """(bucket that holds the n-th row, rows below it, rows in it), None with fewer rows."""
+    below = 0
+    for bucket, rows in histogram:
+        if below + rows >= n:
+            return bucket, below, rows
+        below += rows
+    return None
+
+
+def _smallest(df: DataFrame, h: Column, n: int, prefixes: list[tuple[int, int]]) -> DataFrame:
+    if n <= 0:
+        return df.limit(0)
+    found = _cut(prefixes, n)
+    if found is None:
+        return df
+    prefix, below, _ = found
+    rest = HASH_BITS - PREFIX_BITS
+    inside = df.filter(F.shiftright(h, rest) == prefix)
+    low, more, equal = _cut(_histogram(inside, h.bitwiseAND(F.lit((1 << rest) - 1))), n - below)
+    bound, wanted = (prefix << rest) + low, n - below - more
+    if wanted == equal:
+        return df.filter(h <= F.lit(bound))
+    return df.filter(h < F.lit(bound)).unionByName(_first_rows(df.filter(h == F.lit(bound)), wanted))
+
+
+def _first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows in order of all columns (nulls first): sorted by ranges, whole ranges kept in place."""
+    ordered = cut_lineage(df.repartitionByRange(*df.columns).sortWithinPartitions(*df.columns))
+    at = F.monotonically_increasing_id()  # number of the partition, then of the row in it
+    part, row = F.shiftright(at, 33), at.bitwiseAND(F.lit((1 << 33) - 1))
+    found = _cut(_histogram(ordered, part), n)
+    if found is None:
+        return ordered
+    last, below, _ = found
+    numbered = ordered.select("*", part.alias("__part"), row.alias("__row"))
+    return numbered.filter((F.col("__part") < last) | ((F.col("__part") == last) & (F.col("__row") < n - below))) \
+        .drop("__part", "__row")
 
 
 def sample_or_limit(df: DataFrame, fraction: float, max_rows: int, keys: list[str]) -> DataFrame:
@@ -86,5 +118,6 @@ def sample_or_limit(df: DataFrame, fraction: float, max_rows: int, keys: list[st
     An empty input gives an empty sample.
     """
     h = hash_unit(*keys)
-    below = _counts_below(df, h)
-    return _smallest(df, h, min(max_rows, max(1, math.ceil(fraction * below[0]))), below)
+    prefixes = _histogram(df, F.shiftright(h, HASH_BITS - PREFIX_BITS))
+    rows = sum(n for _, n in prefixes)
+    return _smallest(df, h, min(max_rows, max(1, math.ceil(fraction * rows))), prefixes)

@@ -31,6 +31,7 @@ from ontime.operators import quantiles as Q
 from ontime.operators import rates as R
 from ontime.operators import sampling as S
 from ontime.operators import sketches as K
+from ontime.operators import splits as L
 from ontime.plans.oracle import HASH_KEY, TEST_BOUND, null_safe_hash, with_ctes
 from ontime.plans.stages import load_and_clean, transformed_layer
 from ontime.schema import (
@@ -908,8 +909,30 @@ def q_kde_grid(spark, d):
     return k.select("column", "gi", r6("x").alias("x"), F.round("density", 9).alias("density"))
 
 
+def _kde_continuous_sql() -> str:
+    return (_kde_sql("price").replace("k_price", "prices")
+            .replace(", 6) AS x", ", 4) AS x").replace(", 9) AS density", ", 9) AS density"))
+
+
+@query("kde_continuous", f"WITH prices AS (SELECT l_extendedprice AS v FROM lineitem) {_kde_continuous_sql()}")
+def q_kde_continuous(spark, d):
+    """Density of a continuous column by linear binning: weights on an even grid instead of its distinct values."""
+    rows = read_table(spark, d, "lineitem").select(F.col("l_extendedprice").alias("price"))
+    k = P.densities_binned(rows, ["price"], gridsize=200)
+    return k.select("column", "gi", r6("x", 4).alias("x"), F.round("density", 9).alias("density"))
+
+
 # ---------------------------------------------------------------- sampling and splitting
 
+@query("sample_third", with_ctes(
+    f"SELECT * FROM clean ORDER BY {HASH_KEY}, l_orderkey, l_linenumber, "
+    + ", ".join(f"{c} NULLS FIRST" for c in ["Year", "Month", "DayofMonth", "DayOfWeek", "DepTime"])
+    + " LIMIT (SELECT CAST(ceil(COUNT(*) / 3.0) AS BIGINT) FROM clean)", "clean"))
+def q_sample_third(spark, d):
+    """A third of the rows, exactly: kept where they lie, ranked only at the bound."""
+    return S.sample_or_limit(clean(spark, d), fraction=1 / 3, max_rows=1 << 62, keys=KEYS)
+
+
 @query("hash_sample", with_ctes(f"SELECT * FROM clean WHERE {HASH_KEY} < {TEST_BOUND}", "clean"))
 def q_hash_sample(spark, d):
     return S.hash_sample(clean(spark, d), 0.2, KEYS)
@@ -1135,6 +1158,13 @@ MODEL_CTES = ("mi AS (SELECT *, CASE WHEN {h} < {b} THEN 'test' ELSE 'train' END
               "TRY_CAST(DepDelay AS DOUBLE) AS DepDelay, TRY_CAST(DepTime AS INT) AS DepTime, TRY_CAST(ArrTime AS INT) AS ArrTime, "
               "ArrDelay FROM clean WHERE Cancelled = 0) WHERE DepDelay IS NOT NULL AND DepTime IS NOT NULL "
               "AND ArrTime IS NOT NULL)").format(h=HASH_KEY, b=TEST_BOUND)
+# Rows that reach the models, with all eight features.
+MODEL_FEATURE_CTE = (
+    "mx AS (SELECT * FROM (SELECT l_orderkey, l_linenumber, TRY_CAST(DepDelay AS DOUBLE) AS DepDelay, "
+    "CAST(Distance AS DOUBLE) AS Distance, CAST(TaxiIn AS DOUBLE) AS TaxiIn, CAST(TaxiOut AS DOUBLE) AS TaxiOut, "
+    "CAST(trunc(TRY_CAST(DepTime AS DOUBLE) / 100) AS DOUBLE) AS DepHour, CAST(trunc(TRY_CAST(ArrTime AS DOUBLE) / 100) AS DOUBLE) "
+    "AS ArrHour, CAST(DayOfWeek AS DOUBLE) AS DayOfWeek, CAST(Month AS DOUBLE) AS Month, ArrDelay FROM clean WHERE Cancelled = 0) "
+    "WHERE DepDelay IS NOT NULL AND DepHour IS NOT NULL AND ArrHour IS NOT NULL)")
 N_TEST = "(SELECT COUNT(*) FROM mi WHERE part = 'test')"
 # Least squares of the label on DepDelay alone over the train rows.
 OLS_CTE = (", ols AS (SELECT regr_slope(ArrDelay, DepDelay) AS b, regr_intercept(ArrDelay, DepDelay) AS a "
@@ -1184,6 +1214,49 @@ def q_random_forest(spark, d):
     return _forest_checks(_fit(M.random_forest(MODEL_FEATURES), train).transform(test), train)
 
 
+def _splits_sql(features: list[str]) -> str:
+    """Every threshold between two neighbouring values, by prefix sums over each feature's values."""
+    values = " UNION ALL ".join(f"SELECT {i} AS i, '{c}' AS feature, {c} AS v, COUNT(*) AS n, SUM({LABEL}) AS s FROM tr GROUP BY {c}"
+                                for i, c in enumerate(features))
+    return (f"tr AS (SELECT * FROM mx WHERE {HASH_KEY} >= {TEST_BOUND}), vals AS ({values}), "
+            "sums AS (SELECT *, SUM(n) OVER w AS nl, SUM(s) OVER w AS sl, SUM(n) OVER (PARTITION BY i) AS na, "
+            "SUM(s) OVER (PARTITION BY i) AS sa, lead(v) OVER w AS nxt FROM vals WINDOW w AS (PARTITION BY i ORDER BY v)), "
+            "splits AS (SELECT i, feature, (v + nxt) / 2 AS threshold, CAST(nl AS BIGINT) AS n_left, CAST(na - nl AS BIGINT) AS n_right, "
+            "sl / nl AS mean_left, (sa - sl) / (na - nl) AS mean_right, "
+            "(sl * sl / nl + (sa - sl) * (sa - sl) / (na - nl) - sa * sa / na) / na AS gain FROM sums WHERE nxt IS NOT NULL)")
+
+
+ROUNDED_SPLIT = "round(threshold, 6) AS threshold, round(mean_left, 6) AS mean_left, round(mean_right, 6) AS mean_right"
+
+
+@query("best_splits", with_ctes(
+    f"SELECT feature, n_left, n_right, {ROUNDED_SPLIT}, round(gain, 6) AS gain FROM splits "
+    "QUALIFY row_number() OVER (PARTITION BY feature ORDER BY gain DESC, threshold) = 1", "clean",
+    extra=MODEL_FEATURE_CTE + ", " + _splits_sql(MODEL_FEATURES)))
+def q_best_splits(spark, d):
+    """The split of each model feature that lowers the label's variance most (M6)."""
+    train, _ = _train_test(spark, d)
+    out = L.best_splits(train, MODEL_FEATURES, LABEL)
+    return out.withColumns({c: r6(c) for c in ("threshold", "mean_left", "mean_right", "gain")})
+
+
+# Features of few values, all of whose thresholds a forest of 256 bins looks at.
+STUMP_FEATURES = ["DepDelay", "TaxiIn", "TaxiOut", "DepHour", "ArrHour", "DayOfWeek", "Month"]
+
+
+@query("forest_stump", with_ctes(
+    f"SELECT feature, {ROUNDED_SPLIT} FROM splits ORDER BY gain DESC, i, splits.threshold LIMIT 1", "clean",
+    extra=MODEL_FEATURE_CTE + ", " + _splits_sql(STUMP_FEATURES)))
+def q_forest_stump(spark, d):
+    """A forest of one tree of depth 1 without bagging learns the best split of all (M6)."""
+    train, _ = _train_test(spark, d)
+    model = _fit(M.random_forest(STUMP_FEATURES, num_trees=1, max_depth=1, max_bins=256, subset="all", bagging=False), train)
+    s = L.fitted_stump(model, STUMP_FEATURES)
+    out = spark.createDataFrame([(s.feature, s.threshold, s.mean_left, s.mean_right)],
+                                "feature string, threshold double, mean_left double, mean_right double")
+    return out.withColumns({c: r6(c) for c in ("threshold", "mean_left", "mean_right")})
+
+
 @query("iterative_linear", with_ctes(METRICS_SQL.replace(", 6)", ", 3)"), "clean", extra=MODEL_CTES + OLS_CTE))
 def q_iterative_linear(spark, d):
     """The iterative fit on one feature against the closed form of least squares (three decimals)."""
@@ -1222,15 +1295,6 @@ def _adam_sql(features: list[str]) -> str:
     return with_ctes(body, "clean", extra=MODEL_FEATURE_CTE + ", " + ctes).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
-# Rows that reach the models, with all eight features.
-MODEL_FEATURE_CTE = (
-    "mx AS (SELECT * FROM (SELECT l_orderkey, l_linenumber, TRY_CAST(DepDelay AS DOUBLE) AS DepDelay, "
-    "CAST(Distance AS DOUBLE) AS Distance, CAST(TaxiIn AS DOUBLE) AS TaxiIn, CAST(TaxiOut AS DOUBLE) AS TaxiOut, "
-    "CAST(trunc(TRY_CAST(DepTime AS DOUBLE) / 100) AS DOUBLE) AS DepHour, CAST(trunc(TRY_CAST(ArrTime AS DOUBLE) / 100) AS DOUBLE) "
-    "AS ArrHour, CAST(DayOfWeek AS DOUBLE) AS DayOfWeek, CAST(Month AS DOUBLE) AS Month, ArrDelay FROM clean WHERE Cancelled = 0) "
-    "WHERE DepDelay IS NOT NULL AND DepHour IS NOT NULL AND ArrHour IS NOT NULL)")
-
-
 def _trace(spark, d, features):
     train, _ = _train_test(spark, d)
     layer = G.train_linear(spark, G.deal_batches(train, features, LABEL, KEYS, TRAIN_BATCHES), TRAIN_EPOCHS, TRAIN_STEPS)
