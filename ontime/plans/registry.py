@@ -1201,6 +1201,71 @@ def q_linear_regression(spark, d):
                     (F.col("r2") > 0).alias("r2_positive"))
 
 
+def _splits_sql(features: list[str], train_rows: bool = True) -> str:
+    """Every threshold between two neighbouring values, by prefix sums over each feature's values."""
+    train = f"tr AS (SELECT * FROM mx WHERE {HASH_KEY} >= {TEST_BOUND}), " if train_rows else ""
+    values = " UNION ALL ".join(f"SELECT {i} AS i, '{c}' AS feature, {c} AS v, COUNT(*) AS n, SUM({LABEL}) AS s FROM tr GROUP BY {c}"
+                                for i, c in enumerate(features))
+    return (f"{train}vals AS ({values}), "
+            "sums AS (SELECT *, SUM(n) OVER w AS nl, SUM(s) OVER w AS sl, SUM(n) OVER (PARTITION BY i) AS na, "
+            "SUM(s) OVER (PARTITION BY i) AS sa, lead(v) OVER w AS nxt FROM vals WINDOW w AS (PARTITION BY i ORDER BY v)), "
+            "splits AS (SELECT i, feature, (v + nxt) / 2 AS threshold, CAST(nl AS BIGINT) AS n_left, CAST(na - nl AS BIGINT) AS n_right, "
+            "sl / nl AS mean_left, (sa - sl) / (na - nl) AS mean_right, "
+            "(sl * sl / nl + (sa - sl) * (sa - sl) / (na - nl) - sa * sa / na) / na AS gain FROM sums WHERE nxt IS NOT NULL)")
+
+
+def _ridge_ctes(features: list[str], reg: float) -> str:
+    """Ridge weights of several features: the standardised normal equations, solved by elimination in a recursive query."""
+    p = len(features)
+    r = lambda a, b: f"covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b}))"
+    system = "[" + ", ".join("[" + ", ".join([r(a, b) + (f" + {reg} / stddev_pop({LABEL})" if a == b else "") for b in features]
+                                             + [r(a, LABEL)]) + "]" for a in features) + "]"
+    weights = ", ".join(f"m[{i + 1}][{p + 1}] * sy / sd[{i + 1}]" for i in range(p))
+    return (f"tr AS (SELECT * FROM mx WHERE {HASH_KEY} >= {TEST_BOUND}), moments AS (SELECT [{', '.join(f'AVG({c})' for c in features)}] AS mean, "
+            f"[{', '.join(f'stddev_pop({c})' for c in features)}] AS sd, AVG({LABEL}) AS my, stddev_pop({LABEL}) AS sy, {system} AS m FROM tr), "
+            "solved(k, m) AS (SELECT 0, m FROM moments UNION ALL SELECT k + 1, list_transform(m, lambda line, i: CASE WHEN i = k + 1 "
+            "THEN list_transform(line, lambda e: e / m[k + 1][k + 1]) ELSE list_transform(list_zip(line, m[k + 1]), "
+            f"lambda e: e[1] - e[2] * line[k + 1] / m[k + 1][k + 1]) END) FROM solved WHERE k < {p}), "
+            f"ridge AS (SELECT w, my - list_dot_product(w, mean) AS b FROM (SELECT [{weights}] AS w, mean, my "
+            f"FROM (SELECT m FROM solved WHERE k = {p}), (SELECT mean, sd, my, sy FROM moments)))")
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("linear_regression_weights", _recursive(with_ctes(" UNION ALL ".join(
+    [f"SELECT '{c}' AS component, round(w[{i + 1}], 6) AS weight FROM ridge" for i, c in enumerate(MODEL_FEATURES)]
+    + ["SELECT 'intercept' AS component, round(b, 6) AS weight FROM ridge"]), "clean",
+    extra=MODEL_FEATURE_CTE + ", " + _ridge_ctes(MODEL_FEATURES, 0.1))))
+def q_linear_regression_weights(spark, d):
+    """Weights of the eight-feature regression of stage 6 (maxIter 50, regParam 0.1) against its normal equations (M5)."""
+    train, _ = _train_test(spark, d)
+    lr = _fit(M.linear_regression(MODEL_FEATURES, max_iter=50, reg_param=0.1), train).stages[-1]
+    rows = [*zip(MODEL_FEATURES, map(float, lr.coefficients), strict=True), ("intercept", float(lr.intercept))]
+    return spark.createDataFrame(rows, "component string, weight double").withColumn("weight", r6("weight"))
+
+
+_PREDICTED = ("SELECT '{m}' AS model, COUNT(*) AS n, round(sqrt(AVG((p - {y}) * (p - {y}))), 6) AS rmse, "
+              "round(1 - SUM((p - {y}) * (p - {y})) / (var_pop({y}) * COUNT(*)), 6) AS r2, round(AVG(abs(p - {y})), 6) AS mae FROM ({q})")
+_TEST_ROWS = f"FROM mx, {{t}} WHERE {HASH_KEY} < {TEST_BOUND}"
+
+
+@query("model_comparison_exact", _recursive(with_ctes(" UNION ALL ".join([
+    _PREDICTED.format(m="linear_regression", y=LABEL, q=f"SELECT {LABEL}, b + list_dot_product(w, [{', '.join(MODEL_FEATURES)}]) AS p "
+                      + _TEST_ROWS.format(t="ridge")),
+    _PREDICTED.format(m="stump", y=LABEL, q=f"SELECT {LABEL}, CASE WHEN DepDelay <= threshold THEN mean_left ELSE mean_right END AS p "
+                      + _TEST_ROWS.format(t="(SELECT * FROM splits WHERE feature = 'DepDelay' ORDER BY gain DESC, threshold LIMIT 1)"))]),
+    "clean", extra=MODEL_FEATURE_CTE + ", " + _ridge_ctes(MODEL_FEATURES, 0.1) + ", "
+    + _splits_sql(["DepDelay"], train_rows=False))))
+def q_model_comparison_exact(spark, d):
+    """RMSE, R2 and MAE on the test rows of two models whose fits have a closed form (M10, O12): all eight features, and one split."""
+    train, test = _train_test(spark, d)
+    models = {"linear_regression": _fit(M.linear_regression(MODEL_FEATURES, max_iter=50, reg_param=0.1), train),
+              "stump": _fit(M.random_forest(["DepDelay"], num_trees=1, max_depth=1, max_bins=256, bagging=False), train)}
+    return _rounded(M.compare_models(models, test))
+
+
 def _forest_checks(pred: DataFrame, train: DataFrame) -> DataFrame:
     """Rows scored; a forest's prediction is an average of train labels, so it lies in their range."""
     low, high = train.agg(F.min(LABEL), F.max(LABEL)).first()
@@ -1214,18 +1279,6 @@ def q_random_forest(spark, d):
     return _forest_checks(_fit(M.random_forest(MODEL_FEATURES), train).transform(test), train)
 
 
-def _splits_sql(features: list[str]) -> str:
-    """Every threshold between two neighbouring values, by prefix sums over each feature's values."""
-    values = " UNION ALL ".join(f"SELECT {i} AS i, '{c}' AS feature, {c} AS v, COUNT(*) AS n, SUM({LABEL}) AS s FROM tr GROUP BY {c}"
-                                for i, c in enumerate(features))
-    return (f"tr AS (SELECT * FROM mx WHERE {HASH_KEY} >= {TEST_BOUND}), vals AS ({values}), "
-            "sums AS (SELECT *, SUM(n) OVER w AS nl, SUM(s) OVER w AS sl, SUM(n) OVER (PARTITION BY i) AS na, "
-            "SUM(s) OVER (PARTITION BY i) AS sa, lead(v) OVER w AS nxt FROM vals WINDOW w AS (PARTITION BY i ORDER BY v)), "
-            "splits AS (SELECT i, feature, (v + nxt) / 2 AS threshold, CAST(nl AS BIGINT) AS n_left, CAST(na - nl AS BIGINT) AS n_right, "
-            "sl / nl AS mean_left, (sa - sl) / (na - nl) AS mean_right, "
-            "(sl * sl / nl + (sa - sl) * (sa - sl) / (na - nl) - sa * sa / na) / na AS gain FROM sums WHERE nxt IS NOT NULL)")
-
-
 ROUNDED_SPLIT = "round(threshold, 6) AS threshold, round(mean_left, 6) AS mean_left, round(mean_right, 6) AS mean_right"
 
 
