@@ -54,19 +54,20 @@ def _encoder(path: str):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
         for piece, i in tokenizer.get_vocab().items():
             ends[i] = piece.endswith("</w>")
-        _ENCODERS[path] = (tokenizer, {}, ends)
+        _ENCODERS[path] = (tokenizer, {}, ends, special)
     return _ENCODERS[path]
 
 
 def text_ids(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian uint32 bytes."""
-    tokenizer, known, ends = _encoder(path)
-    # str.split also splits at the four information separators, which the tokenizer does not.
-    plain = [not _SEPARATORS.search(t) for t in texts]
+    tokenizer, known, ends, special = _encoder(path)
+    # str.split also splits at the four information separators, which the tokenizer does not; and special tokens
+    # stand wherever they are written.  Such texts are encoded as they are.
+    plain = [not _SEPARATORS.search(t) and not any(x in t for x in special) for t in texts]
     # The tokenizer lower-cases; for ASCII that is str.lower, so fewer words differ.
     lists = [(t.lower() if t.isascii() else t).split() if p else [] for t, p in zip(texts, plain, strict=True)]
     words = set().union(*lists)
@@ -75,7 +76,8 @@ def text_ids(texts: list[str], path: str) -> list[bytes]:
         known.clear()
         new = words
     # Letters and digits never share a token with the marks after them: a word's ids are its stem's and its tail's.
-    cut = {w: (s, w[len(s):]) for w in new if len(s := w.rstrip(_TAIL)) < len(w) and s and s[-1].isalnum()}
+    # (A letter may become letter and combining mark in lower case, which is a mark.)
+    cut = {w: (s, w[len(s):]) for w in new if len(s := w.rstrip(_TAIL)) < len(w) and s and s[-1].lower()[-1].isalnum()}
     alone = {x for parts in cut.values() for x in parts}.union(new.difference(cut)).difference(known)
     # A word of letters only is one pre-token, whose last id is an end of word: many such words go as one text.
     letters = [w for w in alone if w.isalpha()]
