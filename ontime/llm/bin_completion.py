@@ -11,8 +11,7 @@
    enumerates the undominated fillings around it and prunes a branch whose
    waste can no longer beat the incumbent.
 4. The emptiest sequence of every group is opened again; the opened pieces are
-   packed in a further round with far fewer groups, until one group is left,
-   so at most one badly filled sequence remains in all.
+   packed in a further round with far fewer groups, until one group is left.
 """
 
 from __future__ import annotations
