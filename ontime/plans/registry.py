@@ -680,6 +680,12 @@ def q_quantiles_merged(spark, d):
     return K.ranks_within(features(spark, d).filter("Month BETWEEN 3 AND 9"), found, K.rank_error())
 
 
+@query("summary_merged", with_ctes(_summary_sql(QUANTILE_COLS, "(SELECT * FROM features WHERE Month BETWEEN 3 AND 9)"), "features"))
+def q_summary_merged(spark, d):
+    """Count, mean, deviation and bounds of March to September from the stored months, without their rows (A3)."""
+    return _round_summary(K.merged_summary(_stored_sketches(spark, d).filter("Month BETWEEN 3 AND 9")))
+
+
 @query("sketch_bounds_by_year", with_ctes(" UNION ALL ".join(
     f"SELECT Year, '{c}' AS \"column\", COUNT({c}) AS n, MIN({c}) AS least, MAX({c}) AS greatest FROM features "
     f"GROUP BY Year HAVING COUNT({c}) > 0" for c in QUANTILE_COLS), "features"))

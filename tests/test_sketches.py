@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ontime.operators import sketches as K
+from ontime.operators.profile import numeric_summary, tidy_profile
 from ontime.plans.inspect import physical_section
 
 
@@ -53,6 +54,22 @@ def test_a_repeated_load_counts_once(spark, rows, tmp_dir):
     assert stored.agg(F.max(F.length("sketch"))).first()[0] < 16 * K.DEFAULT_K * 2
 
 
+def test_summary_and_profile_of_merged_groups_are_those_of_the_rows(spark, rows):
+    far = rows.withColumn("v", F.col("v") + 1e9)
+    stored = K.build_sketches(far, ["v", "w"], ["month"])
+    got = {r["column"]: r for r in K.merged_summary(stored).collect()}
+    want = {r["column"]: r for r in numeric_summary(far, ["v", "w"]).collect()}
+    for c in ("v", "w"):
+        assert tuple(got[c]) == (c, want[c]["count"], pytest.approx(want[c]["mean"]), pytest.approx(want[c]["stddev"], rel=1e-6),
+                                 want[c]["min"], want[c]["max"])
+    tidy = {r["metric"]: r["value"] for r in K.merged_profile(stored, "w").collect()}
+    exact = {r["metric"]: r["value"] for r in tidy_profile(rows, "w").collect()}
+    assert list(tidy) == list(exact)
+    assert all(tidy[m] == pytest.approx(exact[m], abs=2 * K.rank_error() * 40_000) for m in exact)
+    one = K.merged_summary(K.build_sketches(spark.createDataFrame([(1, 5.0)], "g int, v double"), ["v"], ["g"])).first()
+    assert one["stddev"] is None and one["mean"] == 5.0
+
+
 def test_missing_values_null_groups_and_clashing_names(spark):
     df = spark.createDataFrame([(None, 1.0, 5.0), (None, math.nan, 5.0), (1, None, None), (1, math.inf, 2.0)],
                                "column int, n double, v double")
