@@ -141,11 +141,13 @@ class ItemBlock:
             # Runs of ``least`` pairs that fit in a window, and the starts of the windows that hold them.
             first, final = own[: len(own) - least + 1], own[least - 1:]
             close = final - first <= m - 2
+            if not close.any():
+                continue
+            # Both ends rise, so each run adds what lies beyond the end of the one before.
             low, high = np.maximum(final[close] - m + 1, 0), first[close]
-            marks = np.zeros(len(flat) + 1, dtype=np.int32)
-            np.add.at(marks, low, 1)
-            np.add.at(marks, high, -1)
-            starts = np.flatnonzero(np.cumsum(marks)) if close.any() else low
+            low[1:] = np.maximum(low[1:], high[:-1])
+            length = np.maximum(high - low, 0)
+            starts = np.repeat(low - np.cumsum(length) + length, length) + np.arange(length.sum())
             if not len(starts):
                 continue
             owner = np.searchsorted(ends, starts, side="right")
