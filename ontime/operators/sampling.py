@@ -60,7 +60,7 @@ def sample_exact_n(df: DataFrame, n: int, keys: list[str]) -> DataFrame:
     Every row with a smaller hash is kept where it is; only rows of that very
     hash are ranked, by every column, so the result does not depend on row
     order.  No task merges the sample, however large ``n`` is.  Rows with null
-    keys have a hash like any other.
+    keys have a hash like any other.  The sample is in no particular order.
     """
     h = hash_unit(*keys)
     return _smallest(df, h, n, _histogram(df, F.shiftright(h, HASH_BITS - PREFIX_BITS)))
