@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -214,9 +215,23 @@ def _by_conversation(batches: Iterator[pa.RecordBatch], columns: list[str]) -> I
         yield row[0], of(row[0])
 
 
+def _batched(rows: Iterator[tuple], schema: pa.Schema, size: int = 1024) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*some, strict=True), schema.types, strict=True)],
+                                         schema=schema)
+
+
+def _hashed(lines: Iterator[tuple[bytes]]) -> str:
+    """SHA-256 of lines joined by newlines, one at a time."""
+    sha = hashlib.sha256(next(lines)[0])
+    for (line,) in lines:
+        sha.update(b"\n" + line)
+    return sha.hexdigest()
+
+
 def _streamed(df: DataFrame, order: list[str], run: Callable, schema: str) -> DataFrame:
-    """``run`` over partitions that hold whole conversations in order, one after the other."""
-    return df.repartition("conv_id").sortWithinPartitions("conv_id", *order).mapInArrow(run, schema)
+    """``run`` over a stated number of partitions that hold whole conversations in order, one after the other."""
+    return df.repartition(shuffle_partitions(df.sparkSession), "conv_id").sortWithinPartitions("conv_id", *order).mapInArrow(run, schema)
 
 
 def repairs(rows: DataFrame) -> DataFrame:
@@ -231,11 +246,8 @@ def repairs(rows: DataFrame) -> DataFrame:
                               "found array<struct<start: int, end: int, cost: bigint, edits: string>>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, parts in _by_conversation(batches, ["chunk", "found"]):
-            for start in range(0, len(out := chain(parts)), 1024):
-                some = out[start:start + 1024]
-                yield pa.RecordBatch.from_pylist([{"conv_id": key, "chunk": c, "cost": cost, "edits": e}
-                                                  for c, cost, e in some], schema=made)
+        yield from _batched(((key, *piece) for key, parts in _by_conversation(batches, ["chunk", "found"])
+                             for piece in chain(parts)), made)
 
     made = pa.schema([("conv_id", _arrow(kind)), ("chunk", pa.int32()), ("cost", pa.int64()), ("edits", pa.string())])
     return _streamed(found, ["chunk"], run, f"conv_id {kind}, chunk int, cost bigint, edits string")
@@ -287,12 +299,8 @@ def digests(turns: DataFrame) -> DataFrame:
     kind = turns.schema["conv_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, lines in _by_conversation(batches, ["line"]):
-            sha = hashlib.sha256(next(lines)[0])
-            for (line,) in lines:
-                sha.update(b"\n" + line)
-            yield pa.RecordBatch.from_arrays([pa.array([key], type=_arrow(kind)), pa.array([sha.hexdigest()])],
-                                             names=["conv_id", "sha256"])
+        yield from _batched(((key, _hashed(lines)) for key, lines in _by_conversation(batches, ["line"])),
+                            pa.schema([("conv_id", _arrow(kind)), ("sha256", pa.string())]))
 
     lines = turns.select("conv_id", "pos", "k", F.concat_ws(":", "role", "text").cast("binary").alias("line"))
     return _streamed(lines, ["pos", "k"], run, f"conv_id {kind}, sha256 string")
