@@ -4,6 +4,13 @@ Texts are compared as sequences of lower-case words (``\\w+``).  A document
 contains an item of m words if some stretch of it is within
 ``floor((1 - similarity) * m)`` word edits of the whole item.
 
+Walks drift apart with the number of edits, so an item of more than
+``PIECE_WORDS`` words is searched by pieces of about equal length: were each
+piece beyond its own allowance, the item would be beyond its own, so some piece
+of a match is within ``floor((1 - similarity) * its words)`` edits.  Candidates
+of a piece are verified with the whole item.  Items without room for an edit
+(under five words at 0.8) are found by exact match.
+
 The corpus is read once per block of items; each task slides item-sized
 windows over its documents:
 
@@ -34,8 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SIMILARITY = 0.8
-#: Items of fewer words are not searched for: such a phrase is ordinary prose.
-MIN_WORDS = 5
+#: Words above which an item is searched by pieces.
+PIECE_WORDS = 60
 #: Sampled steps in an LSH key; share of equal steps taken for a pair at the threshold; recall asked for.
 SAMPLES = 4
 AGREEMENT = 0.55
@@ -82,11 +89,17 @@ class ItemBlock:
         self.items = [np.array([self.codes.setdefault(w, len(self.codes)) for w in words]) for _, words in items]
         self.vocabulary = len(self.codes)
         self.allowed = [int((1 - similarity) * len(x) + 1e-9) for x in self.items]
-        self.pairs = np.unique(np.concatenate([x[:-1] * self.vocabulary + x[1:] for x in self.items]))
-        self.lengths = sorted({len(x) for x in self.items})
-        # Of each length of item: which pairs its items have.
+        self.exact = [k for k, d in enumerate(self.allowed) if d == 0]
+        # (item, offset of the piece in it, codes of the piece)
+        self.parts = [(k, at, x[at:end]) for k, x in enumerate(self.items) if self.allowed[k] > 0
+                      for at, end in _pieces(len(x))]
+        if not self.parts:
+            return
+        self.pairs = np.unique(np.concatenate([x[:-1] * self.vocabulary + x[1:] for _, _, x in self.parts]))
+        self.lengths = sorted({len(x) for _, _, x in self.parts})
+        # Of each length of piece: which pairs its pieces have.
         self.pair_lengths = {m: np.isin(self.pairs, np.concatenate(
-            [x[:-1] * self.vocabulary + x[1:] for x in self.items if len(x) == m])) for m in self.lengths}
+            [x[:-1] * self.vocabulary + x[1:] for _, _, x in self.parts if len(x) == m])) for m in self.lengths}
         longest = self.lengths[-1]
         random = np.random.default_rng(seed)
         self.reps = repetitions(recall)
@@ -97,8 +110,8 @@ class ItemBlock:
                                    for _ in range(self.reps)]) for m in self.lengths}
         self.keys: dict[int, list[dict[int, list[int]]]] = {m: [{} for _ in range(self.reps)] for m in self.lengths}
         for m in self.lengths:
-            own = [k for k, x in enumerate(self.items) if len(x) == m]
-            flat = np.concatenate([self.items[k] for k in own])
+            own = [k for k, (_, _, x) in enumerate(self.parts) if len(x) == m]
+            flat = np.concatenate([self.parts[k][2] for k in own])
             for table, keys in zip(self.keys[m], self.walk(flat, np.arange(len(own)) * m, m), strict=True):
                 for k, key in zip(own, keys.tolist(), strict=True):
                     table.setdefault(key, []).append(k)
@@ -125,6 +138,9 @@ class ItemBlock:
         if not len(flat):
             return
         begins = np.concatenate([[0], ends[:-1]])
+        yield from self._search_exact(flat, ends, begins)
+        if not self.parts:
+            return
         both = (flat[:-1] >= 0) & (flat[1:] >= 0)
         code = flat[:-1][both] * self.vocabulary + flat[1:][both]
         spot = np.minimum(np.searchsorted(self.pairs, code), len(self.pairs) - 1)
@@ -155,8 +171,9 @@ class ItemBlock:
                 part = starts[low:low + 8192]
                 for table, keys in zip(self.keys[m], self.walk(flat, part, m), strict=True):
                     for p in np.flatnonzero(np.isin(keys, np.fromiter(table, np.int64, len(table)))):
-                        for k in table[int(keys[p])]:
-                            found.setdefault((int(owner[low + p]), k), set()).add(int(part[p]))
+                        for j in table[int(keys[p])]:
+                            k, offset, _ = self.parts[j]
+                            found.setdefault((int(owner[low + p]), k), set()).add(int(part[p]) - offset)
         for (o, k), places in found.items():
             m, d = len(self.items[k]), self.allowed[k]
             best = None
@@ -170,6 +187,30 @@ class ItemBlock:
             if best:
                 yield o, k, best[1], best[2], best[0]
 
+    def _search_exact(self, flat: np.ndarray, ends: np.ndarray,
+                      begins: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """First place of each item that allows no edit in each document that has it."""
+        for k in self.exact:
+            item = self.items[k]
+            at = np.flatnonzero(flat[:len(flat) - len(item) + 1] == item[0]) if len(item) <= len(flat) else []
+            for j, w in enumerate(item[1:], 1):
+                at = at[flat[at + j] == w]
+            if not len(at):
+                continue
+            owner = np.searchsorted(ends, at, side="right")
+            whole = at + len(item) <= ends[owner]
+            owners, first = np.unique(owner[whole], return_index=True)
+            for o, p in zip(owners.tolist(), at[whole][first].tolist(), strict=True):
+                start = p - int(begins[o])
+                yield o, k, start, start + len(item), 0
+
+
+def _pieces(m: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of as few pieces of m words as have at most PIECE_WORDS, of lengths that differ by one at most."""
+    n = -(-m // PIECE_WORDS)
+    for k in range(n):
+        yield m * k // n, m * (k + 1) // n
+
 
 def _stretches(places: list[int], m: int, d: int) -> Iterator[tuple[int, int]]:
     """Stretches to verify: around every candidate start, those that overlap joined."""
@@ -185,13 +226,13 @@ def _stretches(places: list[int], m: int, d: int) -> Iterator[tuple[int, int]]:
 
 def item_blocks(items: DataFrame, id_column: str, text_column: str, similarity: float = SIMILARITY,
                 block_words: int = BLOCK_WORDS) -> Iterator[ItemBlock]:
-    """Blocks of about ``block_words`` words; items without id or with fewer than MIN_WORDS words are left out."""
+    """Blocks of about ``block_words`` words; items without id or without words are left out."""
     rows = items.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("t")).dropna()
     size = rows.agg(F.sum(F.length("t") / 4)).first()[0] or 0
     n = max(1, math.ceil(size / block_words))
     for b in range(n):
         part = rows.filter(F.pmod(F.xxhash64("t"), F.lit(n)) == b).distinct().orderBy("id", "t").collect()
-        known = [(r["id"], w) for r in part if len(w := words_of(r["t"])) >= MIN_WORDS]
+        known = [(r["id"], w) for r in part if (w := words_of(r["t"]))]
         if known:
             yield ItemBlock(known, similarity)
 
