@@ -2,7 +2,9 @@
 
 A page is cut at block-level tags into flat text blocks.  A block's features
 are its word count and link density, those of its two neighbours, and what its
-ancestors say (article, menu, advert ...).  A decision tree fitted on the small
+ancestors say (article, menu, advert ...).  Where the ancestors say nothing,
+counts and neighbours decide: a short block between long ones is text, the same
+block beside a list of links is not.  A decision tree fitted on the small
 labelled table below keeps or drops each block; kept blocks are joined in page
 order.  The tree is fitted once on the driver from that fixed table and sent to
 the tasks; pages are extracted where they are read, without shuffle.
@@ -25,17 +27,22 @@ BLOCK = set("address article aside blockquote body center dd details dialog dir
             "footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section "
             "summary table tbody td tfoot th thead tr ul".split())
 EMPTY = {"hr", "br", "img", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source", "track", "param"}
-SILENT = {"head", "title", "button", "select", "option", "datalist", "svg", "math", "object", "canvas", "audio",
-          "video", "map", "label"}
+SILENT = {"svg", "math", "object", "canvas", "audio", "video", "map"}
+#: Silent up to their end tag; left open (their end tags are often missing), up to the next block-level tag.
+HELD = {"head", "title", "button", "select", "option", "datalist"}
 RAW = "script|style|noscript|template|textarea|iframe|noframes|xmp|noembed"
 CONTENT_TAGS = {"article", "main"}
 BOILER_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset", "dir"}
+# Words that name boilerplate as a part of a class name, and those that do only as the whole name.
 BOILER_HINT = re.compile(
     r"(?<![a-z])(?:ads?|advert\w*|advertis\w*|adbox|adslot|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|"
-    r"alerts?|popup|modal|overlay|comments?|disqus|replies|respond|discussion|reviews?|share|sharing|social|sidebar|"
-    r"side|rail|menu|menubar|nav\w*|breadcrumbs?|pagination|pager|footer|foot|header|masthead|topbar|toolbar|related|"
-    r"recommend\w*|newsletter|subscribe|signup|login|search|widgets?|copyright|legal|disclaimer|contentinfo|"
-    r"complementary|navigation|form|tags?)(?![a-z])")
+    r"popup|modal|overlay|comments?|disqus|replies|respond|share|sharing|social|sidebar|"
+    r"menu|menubar|nav\w*|breadcrumbs?|pagination|pager|footer|masthead|topbar|toolbar|related|"
+    r"recommend\w*|newsletter|subscribe|signup|login|widgets?|copyright|disclaimer|contentinfo|"
+    r"complementary|navigation)(?![a-z])|"
+    r"(?<!\S)(?:alerts?|discussion|reviews|side|rail|foot|header|search|legal|form|tags|site-header|page-header|user-reviews|"
+    r"search-form|search-box|side-rail|legal-notice|tag-list)(?!\S)")
+COMMENT_HINT = re.compile(r"(?<![a-z])(?:comments?|replies|reply)(?![a-z])")
 CONTENT_HINT = re.compile(r"(?<![a-z])(?:articles?|articlebody|content|main|post|entry|story|body|text|prose)(?![a-z])")
 
 _TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*+>|\Z)|"
@@ -114,6 +121,74 @@ LABELLED = [
     ("""<table><tr><td><a href=/1>Index of all pages</a></td><td><a href=/2>Map</a></td></tr></table><p>Old pages used tables
      for their menus and then plain paragraphs for what they had to say to their readers.</p><p>Like so.</p><center>
      <a href=/b>Back to the top</a></center>""", "BBTTB"),
+    ("""<div><a href=/>Home</a> <a href=/w>World</a> <a href=/m>Money</a></div><div>Get our letter every day.</div>
+     <div><a href=/log>Log in</a></div><p>The ferry to the island runs again from the first of May, after the pier was
+     mended over the winter by its owners.</p><p>It is full.</p><p>Those who want to cross on a holiday should come
+     early in the morning, because the boat takes only forty people at a time.</p><p>No dogs.</p><p>The last boat back
+     leaves at eight in the evening from the lower pier, and it doesn't wait for anybody who comes late.</p><div>
+     <a href=/i>Imprint</a> <a href=/p>Privacy</a></div><div>Copyright 2024 Sample Corp.</div>""", "BBBTTTTTBB"),
+    ("""<div>Your town, your paper</div><div><a href=/>Start</a> <a href=/l>Local</a> <a href=/s>Sport</a></div><p>Bees have
+     come back to the roofs of the museum, where three hives stood empty for the whole of last year.</p><p>Why now?</p>
+     <p>Nobody knows for sure, but the gardens around the square were sown with clover in autumn, says the keeper.</p>
+     <p>The honey is sold at the door from June on, in small jars, as long as there is any left of it.</p><div>
+     <a href=/m>More stories</a> <a href=/n>Next</a></div><div>Follow us everywhere</div><div><a href=/c>Contact</a></div>
+     <div>All rights reserved.</div>""", "BBTTTTBBBB"),
+    ("""<p><a href=/b>Back to the list</a></p><p>Printed on Monday</p><p><a href=/e>Send by mail</a> <a href=/q>Print</a></p>
+     <p>A tower of the old wall fell in the storm of last night, and stones lie across the road to the station.</p><p>A
+     bus goes round.</p><p>Work on the wall will take until spring, the town says, and cost more than what was set
+     aside.</p><p>There are <a href=/t>two other towers</a> that have to be looked at before the next storm comes.</p>
+     <p><a href=/1>First</a> <a href=/2>Last</a></p><p>Seen by many people.</p>""", "BBBTTTTBB"),
+    ("""<article><h1>Sources</h1><p>These three books were used for the pages above, all of them in the public library.</p>
+     <ul><li><a href=/1>The river and its mills</a></li><li><a href=/2>Towers of the old wall</a></li><li><a href=/3>Bees
+     in town</a></li></ul><p>Ask at the desk.</p><p><a href=/4>A longer list</a></p></article><div><a href=/>Home</a></div>
+     <div>Open from nine.</div>""", "TTTTTTTBB"),
+    ("<article><p>One line only.</p></article>", "T"),
+    ("<article><h1>Name</h1><p>Short.</p></article>", "TT"),
+    ("<article><p><a href=/o>Only a link</a></p></article>", "T"),
+    ("<main><h2>Notes</h2><p>First.</p><p>Second one.</p><p><a href=/t>Third</a></p></main>", "TTTT"),
+    ("""<article><p>Said.</p><p>Done.</p><p>A man who sold chairs in the street said that he had seen it all from there.</p>
+     <p>Then.</p></article><div>Made in town.</div>""", "TTTTB"),
+    ("<article><p>Here</p><ul><li><a href=/1>a</a></li><li><a href=/2>b</a></li></ul><p>and there.</p></article>", "TTTT"),
+    ("""<div>Read us on paper too</div><p>A plain page may begin at once with a long paragraph that says what has to be said
+     in it.</p><p>It may end with one just as long, after which nothing at all follows on the whole of the page.</p>""", "BTT"),
+    ("""<p>A single paragraph of many words is the text of a page that has nothing else to show to those who read it.</p>""",
+     "T"),
+    ("""<p>Of two long paragraphs on a page without any marks the first one stands at the very top of the page.</p><p>The
+     second one stands at its end, and both of them are its text, as there is nothing else on it.</p><p>All rights
+     reserved.</p>""", "TTB"),
+    ("""<div>Sign up today</div><h1>Of stones</h1><p>Stones were cut on the hill above the town for as long as anybody there
+     can remember, says a book.</p><p>It is hard work and was never paid well, which is why only a few still do it.</p>
+     <div>Share this page</div>""", "BTTTB"),
+    ("""<h1>Of ropes</h1><p>Ropes are made from hemp by walking backwards along a path that is longer than the rope will
+     be.</p><p>Not easy.</p><p>A good maker walks thirty miles a day and doesn't go anywhere at all, as the saying has
+     it.</p><div>Call us now</div><div><a href=/>Top</a></div>""", "TTTTBB"),
+    ("""<div><a href=/>Home</a></div><div>Log in here</div><div><a href=/x>Help</a></div><h1>Of salt</h1><p>Salt came up the
+     river in flat boats and was weighed at the gate, where a tax was paid on every sack.</p><div><a href=/y>All
+     pages</a></div><div>Open all day</div>""", "BBBTTBB"),
+    ("""<nav><ul><li><a href=/>Home</a><li><a href=/2>All our pages by date</a></ul></nav><div class=ad>Buy a new roof before
+     the autumn storms and pay for it in the spring, with no interest at all for those who order by the end of May.</div>
+     <div class=banner><p>Three weeks of free reading for everybody who orders our paper in the course of this month, at home
+     or in any shop.</p><p>It ends by itself and you never have to write to us to put an end to it, which is a promise we
+     keep.</p></div><article><h1>Of nets</h1><p>Nets dry on the wall.</p></article><div class=comments><p>I have seen these
+     nets myself when I was there in the summer, and they were far longer than what the text here says about them.</p><p>My
+     father made such nets all his life, and he would have liked this text, thank you for having written it down.</p></div>
+     <div class=sidebar><p>The writer of these pages lives on the coast and has made three films about people who work on
+     the sea.</p></div>""", "BBBBBTTBBB"),
+    ("""<div class=content><p>The text of a page may stand in a division that is named for it, with long paragraphs such as this
+     first one here.</p><p>A second paragraph of about that length follows, and tells the rest of what there is to be told
+     today.</p></div><div class=related><p>Read in our next issue why the harbour was built on the wrong side of the bay, and
+     who was paid for it.</p></div><div id=comments><p>Well told, but the second part could have been longer, as there is much
+     more to say about all of this.</p><p>I don't agree with what was said above, for the harbour had been there before the
+     town was founded.</p></div><div class=cookie-bar><p>This site keeps small files on your machine so that it knows you when
+     you come back on another day.</p></div><div class=newsletter><p>Every Sunday we send a letter with the best texts of the
+     week to all who ask for it, for nothing.</p></div>""", "TTBBBBB"),
+    ("""<div class=notice><p>We are moving to a new machine on Saturday, and these pages may be slow or missing for an hour or two
+     then.</p></div><div class=promo>A book with the hundred best pictures of the year can be had at our desk for ten crowns
+     until it is sold out.</div><h1>Of wells</h1><p>Wells were dug by hand down to forty feet, and one man stood below while
+     two others pulled up the earth.</p><div class=ad>Pumps of all sizes, made to last, brought to your door and put in by
+     people who know how to do it.</div><p>Many of them still give water today, although hardly anybody goes there to fetch it
+     with a bucket.</p><div class="social share"><p>Tell all your friends about this page and ask them what they think of the
+     wells in their own town or village.</p></div>""", "BBTTBTB"),
 ]
 
 
@@ -124,6 +199,8 @@ def blocks(html: str | None) -> list[tuple[str, int, int, tuple[int, ...]]]:
     text: list[str] = []
     linked: list[str] = []
     silent, anchors = 0, 0
+    held, open_end = "", False
+    next_end: dict[str, int] = {}  # of each name: place of the next end tag, as far as looked for
 
     def flush() -> None:
         if text:
@@ -136,9 +213,18 @@ def blocks(html: str | None) -> list[tuple[str, int, int, tuple[int, ...]]]:
         text.clear()
         linked.clear()
 
+    def closes(name: str, at: int) -> bool:
+        """Whether the element's end tag comes before another start of that name."""
+        if next_end.get(name, -1) < at:
+            next_end[name] = lower.find(f"</{name}", at) if next_end.get(name) != len(lower) else len(lower)
+            if next_end[name] < 0:
+                next_end[name] = len(lower)
+        return next_end[name] < len(lower) and lower.find(f"<{name}", at, next_end[name]) < 0
+
     html, at = html or "", 0
+    lower = html.lower()
     for m in _TAG.finditer(html):
-        if m.start() > at and not silent:
+        if m.start() > at and not silent and not held:
             part = html[at:m.start()]
             text.append(part)
             if anchors:
@@ -147,14 +233,21 @@ def blocks(html: str | None) -> list[tuple[str, int, int, tuple[int, ...]]]:
         name = (m["name"] or "").lower()
         if not name:
             continue
-        if name in SILENT:
+        if held and open_end and name in BLOCK:
+            held = ""
+        if name in HELD:
+            if m["end"]:
+                held = "" if name == held else held
+            elif not held and not m["attrs"].endswith("/"):
+                held, open_end = name, not closes(name, at)
+        elif name in SILENT:
             silent = max(0, silent + (-1 if m["end"] else 1)) if not m["attrs"].endswith("/") else silent
         elif name == "body":
-            silent = 0
+            silent, held = 0, ""
         elif name == "a":
             anchors = 0 if m["end"] else 1
         elif name == "br":
-            if not silent:
+            if not silent and not held:
                 text.append(" ")
         if name not in BLOCK:
             continue
@@ -179,10 +272,11 @@ def blocks(html: str | None) -> list[tuple[str, int, int, tuple[int, ...]]]:
         if name in BOILER_TAGS or (name == "header" and not article):
             boiler = 1
         if names and name != "body":
-            bad |= bool(BOILER_HINT.search(names))
+            # An article is one whatever its class says, unless it stands in boilerplate or is a reader's comment.
+            bad |= bool((COMMENT_HINT if name in CONTENT_TAGS else BOILER_HINT).search(names))
             good |= bool(CONTENT_HINT.search(names))
         stack.append((name, article, boiler, int(bad), int(good)))
-    if at < len(html) and not silent:
+    if at < len(html) and not silent and not held:
         text.append(html[at:])
     flush()
     return out
@@ -195,10 +289,10 @@ def feature_rows(found: list[tuple[str, int, int, tuple[int, ...]]]) -> np.ndarr
     return np.column_stack([own, np.vstack([edge, own])[:-1], np.vstack([own, edge])[1:], flags])
 
 
-def fit_tree(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2):
+def fit_tree(x: np.ndarray, y: np.ndarray, depth: int = 8, least: int = 2):
     """CART on the Gini index: nested (feature, threshold, low side, high side), leaves are shares of class 1.
 
-    Ties go to the later feature: what ancestors say before mere counts.
+    Ties go to the earlier feature: counts before what ancestors say.
     """
     if depth == 0 or len(y) < 2 * least or y.min() == y.max():
         return float(y.mean())
@@ -211,7 +305,7 @@ def fit_tree(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2):
             if min(low.sum(), (~low).sum()) < least:
                 continue
             cost = gini(y[low]) + gini(y[~low])
-            if best is None or cost <= best[0] + 1e-12:
+            if best is None or cost < best[0] - 1e-12:
                 best = (cost, f, cut)
     if best is None or best[0] >= gini(y) - 1e-9:
         return float(y.mean())

@@ -121,3 +121,36 @@ def test_token_counts_awkward_rows(awkward):
 
 def test_token_counts_empty_table(make_docs):
     assert token_counts(make_docs([]), MODEL).count() == 0
+
+
+LONG = "many words of plain text that go on and on for a while, " * 2
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<article><p>a</p><select><option>x<option>y</select><p>rest</p></article>", "a\nrest"),
+    ("<article><p>a</p><select><option>x<option>y<p>rest</p><p>more</p></article>", "a\nrest\nmore"),
+    ("<article><p>a</p><button>Send<p>rest</p></article>", "a\nrest"),
+    ("<article><p>a <button><div>Share</div></button></p><p>b</p></article>", "a\nb"),
+    ("<article><p>a <label>named</label> b</p></article>", "a named b"),
+    ("<head><title>T<body><article><p>a</p></article>", "a"),
+    ("<article class=review><p>good film</p></article>", "good film"),
+    ("<article><div class=form-group>a</div><div class=tag-line>b</div><div class=text-side>c</div>"
+     "<div class=legal-analysis>d</div></article>", "a\nb\nc\nd"),
+    ("<article><p>see</p><ul><li><a href=/1>one</a></li><li><a href=/2>two</a></li></ul></article>", "see\none\ntwo"),
+])
+def test_unclosed_elements_and_names_lose_no_text(html, text):
+    assert main_text(html, TREE) == text
+
+
+def test_counts_and_neighbours_decide_where_nothing_is_marked():
+    """The same block is text between long paragraphs and none between lists of links; so is a long one for a short one."""
+    links = "<div><a href=/>x y</a> <a href=/z>z</a></div>"
+    between = lambda block, side: main_text(f"{side}<p>{block}</p>{side}<p>{LONG}</p>", TREE).split("\n")
+    assert "It was short." in between("It was short.", f"<p>{LONG}</p>")
+    assert "It was short." not in between("It was short.", links)
+    assert between(LONG.strip(), links) == [LONG.strip()] * 2
+    x, y = labelled_rows()
+    for features in ([0], [1], [2, 3, 4, 5]):  # own words, own links, neighbours
+        blind = x.copy()
+        blind[:, features] = 0
+        assert any((predict(TREE, a) >= 0.5) != (predict(TREE, b) >= 0.5) for a, b in zip(x, blind, strict=True))
