@@ -5,8 +5,8 @@
    tokenizer, so a text's ids are those of its words in order; a worker encodes
    each distinct word once and joins the ids.
 2. Pieces that fill a sequence are sequences by themselves.
-3. The others are dealt by hash to groups worth ``group_bins`` sequences.  In a
-   group the best-fit decreasing packing is the incumbent; unless it meets the
+3. The others are dealt by their rank in length to groups worth ``group_bins``
+   sequences, so that every group has the whole's mix of lengths.  In a group the best-fit decreasing packing is the incumbent; unless it meets the
    lower bound, a branch-and-bound search takes the largest piece left,
    enumerates the undominated fillings around it and prunes a branch whose
    waste can no longer beat the incumbent.
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ontime.llm.common import materialize
@@ -36,7 +36,7 @@ END_ID = 1
 #: Sequences' worth of tokens in a group.
 GROUP_BINS = 512
 #: Search nodes per group after which the incumbent stands (it is a whole packing at any time).
-NODES = 300
+NODES = 2000
 #: Fillings looked at per search node, and pieces added to the largest one in a filling found by search.
 FILLINGS = 24
 #: Words whose ids a worker remembers.
@@ -214,11 +214,18 @@ def complete_bins(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES
     total, budget = sum(sizes), [nodes]
     if len(best) <= bound:
         return best
-    # Depth first: (pieces left, bins so far as a chain, number of bins, waste so far).
-    stack = [(Counter(sizes), None, 0, 0)]
+    # Depth first: (pieces left before the last filling, that filling, bins so far as a chain, their number, waste so far).
+    stack = [(Counter(sizes), (), None, 0, 0)]
     while stack and budget[0] > 0 and len(best) > bound:
-        left, chain, n, waste = stack.pop()
+        left, filled, chain, n, waste = stack.pop()
+        if waste > (len(best) - 1) * capacity - total:
+            continue
         budget[0] -= 1
+        left = left.copy()
+        for s in filled:
+            left[s] -= 1
+            if not left[s]:
+                del left[s]
         if not left:
             if n < len(best):
                 best = []
@@ -228,17 +235,13 @@ def complete_bins(sizes: list[int], capacity: int = CAPACITY, nodes: int = NODES
             continue
         allowed = (len(best) - 1) * capacity - total
         first = max(left)
-        left = left.copy()
         left[first] -= 1
         if not left[first]:
             del left[first]
         for chosen in reversed(fillings(first, left, capacity, FILLINGS)):
             more = waste + capacity - first - sum(chosen)
-            if more > allowed:
-                continue
-            rest = left.copy()
-            rest.subtract(chosen)
-            stack.append((+rest, ((first, *chosen), chain), n + 1, more))
+            if more <= allowed:
+                stack.append((left, chosen, ((first, *chosen), chain), n + 1, more))
     return best
 
 
@@ -262,6 +265,25 @@ def _pack_group(capacity: int, open_last: bool):
     return run
 
 
+def dealt(pieces: DataFrame, groups: int) -> DataFrame:
+    """Adds g: the rank by length modulo ``groups``, so that all groups hold pieces of nearly the same lengths.
+
+    Ranks come from a range partitioning: place in the partition plus the rows
+    of the partitions before it.  What is broadcast is one count a partition.
+    """
+    at = F.monotonically_increasing_id()
+    # Rows of one length spread over partitions by their uid.
+    placed = materialize(pieces.repartitionByRange("length", "uid").sortWithinPartitions("length", "uid")
+                         .withColumn("_part", F.shiftright(at, 33))
+                         .withColumn("_place", at.bitwiseAND((1 << 33) - 1)), "placed")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    return (placed.join(F.broadcast(counts), "_part")
+            .withColumn("g", F.pmod(F.col("_before") + F.col("_place"), F.lit(groups)).cast("bigint"))
+            .drop("_part", "_place", "_before"))
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_bins: int = GROUP_BINS) -> DataFrame:
     """Adds sequence_id and offset to pieces (columns doc_id, piece, start, length, ids_crc32)."""
     pieces = materialize(pieces.withColumn("uid", F.monotonically_increasing_id()), "pieces")
@@ -274,7 +296,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_bins: int = GROUP_BI
         total = rest.agg(F.sum("length")).first()[0] or 0
         groups = max(1, -(-total // (capacity * group_bins)))
         packed = materialize(
-            rest.withColumn("g", F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(groups))).groupBy("g")
+            dealt(rest, groups).groupBy("g")
             .applyInPandas(_pack_group(capacity, groups > 1), kind), "packed")
         number = (F.lit(level).cast("bigint") * (1 << 54) + F.col("g") * (1 << 22) + F.col("bin")) * 2
         parts.append(packed.filter(~F.col("open")).withColumn("sequence_id", number).drop("g", "bin", "open"))
