@@ -79,6 +79,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         spans_text(F.col("spans")).alias("spans"))
 
 
+# op7, op8: rows without an id fall in no fold; they are not learnt from and their held_out is null.
 @query("op7_toxic_segments")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, fold = read(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 3
