@@ -185,3 +185,9 @@ def test_state_distributions_sum_to_one(make_docs):
             text = np.array([-1] + [0] * (len(before) + 1))
             total += (base[w] if w >= 0 else unseen) * 10 ** tree.gain(flat, text)[-1]
         assert total == pytest.approx(1, abs=1e-9)
+
+
+def test_rows_of_one_large_batch_all_count(make_docs):
+    """A task's batch of more than ``CHUNK_ROWS`` rows is cut; the later cuts' words count like the first's."""
+    rows = [(i, f"Word{i % 50} AND w{i} ÄB") for i in range(L.CHUNK_ROWS + 500)]
+    same_base(L.score(make_docs(rows, parts=1), fold()).collect(), brute_base(rows, in_training))
