@@ -176,8 +176,9 @@ def squared_loss_gradient(df: DataFrame, features: list[str], label: str, weight
     The loss is ``mean((y - xw - b)^2) / 2 + reg_param / (2 sd(y)) sum((sd_j w_j)^2)`` with population deviations,
     each component in units of its feature's and the label's deviation: all are 0 at the optimum.
     """
-    spread = df.agg(*[F.stddev_pop(c).alias(c) for c in [*features, label]]).first()
-    means = df.agg(*[F.avg(c).alias(c) for c in features]).first()
+    moments = df.agg(F.struct(*[F.stddev_pop(c).alias(c) for c in [*features, label]]).alias("spread"),
+                     F.struct(*[F.avg(c).alias(c) for c in features]).alias("means")).first()
+    spread, means = moments["spread"], moments["means"]
     sd_y = spread[label] or 1.0
     error = F.col(label) - F.lit(float(intercept))
     for c, w in zip(features, weights, strict=True):

@@ -7,6 +7,8 @@ over the full distributed data, and every metric is one aggregate.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -232,8 +234,9 @@ def train_partitions(rows: int) -> int:
     return max(LEAST_TRAIN_PARTITIONS, -(-rows // TRAIN_PARTITION_ROWS))
 
 
-def fit_persisted(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) -> PipelineModel:
-    """Fit on a cached train set of one layout (memory, spilling to disk), released after.
+@contextmanager
+def laid_out(train: DataFrame, partitions: int | None = None) -> Iterator[DataFrame]:
+    """The train set cached in one layout (memory, spilling to disk), released after; several fits may share it.
 
     Estimators pass over their input many times, and a forest's bagging draws
     by partition and row position.  The rows are therefore always dealt by the
@@ -243,14 +246,20 @@ def fit_persisted(pipeline: Pipeline, train: DataFrame, partitions: int | None =
     (``train_partitions``), which costs one count.
     """
     partitions = partitions or train_partitions(train.count())
-    laid_out = train.repartition(partitions, *train.columns).sortWithinPartitions(*train.columns)
-    cached = laid_out.persist(StorageLevel.MEMORY_AND_DISK)
+    ordered = train.repartition(partitions, *train.columns).sortWithinPartitions(*train.columns)
+    cached = ordered.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return pipeline.fit(cached)
+        yield cached
     finally:
         cached.unpersist()
 
 
+def fit_persisted(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) -> PipelineModel:
+    """Fit on the ``laid_out`` train set."""
+    with laid_out(train, partitions) as cached:
+        return pipeline.fit(cached)
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     """Persist a fitted pipeline to shared storage."""
     model.write().overwrite().save(path)

@@ -999,10 +999,16 @@ def q_random_split_counts(spark, d):
     """``randomSplit`` halves, checked: together all rows once, sizes within six standard deviations."""
     source = clean(spark, d)
     train, test = S.random_split(source, [0.8, 0.2], seed=42)
-    n, n_test = source.count(), test.count()
-    lost = source.exceptAll(train.unionByName(test)).count()
+    # Copies of each row in the source and in either half: one shuffle, and one pass over each of the three.
+    sides = ["source", "train", "test"]
+    rows = [df.select(F.struct(*df.columns).alias("row"), *[F.lit(int(s == t)).alias(t) for t in sides])
+            for s, df in zip(sides, (source, train, test), strict=True)]
+    copies = rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("row").agg(*[F.sum(s).alias(s) for s in sides])
+    lost = F.greatest(F.col("source") - F.col("train") - F.col("test"), F.lit(0))
+    sums = copies.agg(*[F.coalesce(F.sum(x), F.lit(0)).alias(s) for s, x in zip([*sides, "lost"], [*sides, lost], strict=True)]).first()
+    n, n_test = sums["source"], sums["test"]
     near = abs(n_test - 0.2 * n) <= 6 * (n * 0.16) ** 0.5
-    return spark.createDataFrame([(train.count() + n_test, lost, near)], "total bigint, lost int, near boolean")
+    return spark.createDataFrame([(sums["train"] + n_test, sums["lost"], near)], "total bigint, lost int, near boolean")
 
 
 @query("sample_escalate", with_ctes(
@@ -1199,9 +1205,10 @@ def q_linear_regression_one_feature(spark, d):
 def q_linear_regression(spark, d):
     """Eight features, maxIter 50, regParam 0.1: rows scored, and that the fit beats one feature's on the train rows."""
     train, test = _train_test(spark, d)
-    full = _fit(M.linear_regression(MODEL_FEATURES, max_iter=50, reg_param=0.1), train)
-    one = _fit(M.linear_regression(["DepDelay"], max_iter=50, reg_param=0.1), train)
-    rmse = {r["model"]: r["rmse"] for r in M.compare_models({"full": full, "one": one}, train).collect()}
+    with M.laid_out(train) as rows:
+        full = M.linear_regression(MODEL_FEATURES, max_iter=50, reg_param=0.1).fit(rows)
+        one = M.linear_regression(["DepDelay"], max_iter=50, reg_param=0.1).fit(rows)
+        rmse = {r["model"]: r["rmse"] for r in M.compare_models({"full": full, "one": one}, rows).collect()}
     m = M.regression_metrics(full.transform(test))
     return m.select("n", F.lit(rmse["full"] <= rmse["one"] + 1e-6).alias("better_than_one_feature"),
                     (F.col("r2") > 0).alias("r2_positive"))
@@ -1267,8 +1274,9 @@ _TEST_ROWS = f"FROM mx, {{t}} WHERE {HASH_KEY} < {TEST_BOUND}"
 def q_model_comparison_exact(spark, d):
     """RMSE, R2 and MAE on the test rows of two models whose fits have a closed form (M10, O12): all eight features, and one split."""
     train, test = _train_test(spark, d)
-    models = {"linear_regression": _fit(M.linear_regression(MODEL_FEATURES, max_iter=50, reg_param=0.1), train),
-              "stump": _fit(M.random_forest(["DepDelay"], num_trees=1, max_depth=1, max_bins=256, bagging=False), train)}
+    with M.laid_out(train) as rows:
+        models = {"linear_regression": M.linear_regression(MODEL_FEATURES, max_iter=50, reg_param=0.1).fit(rows),
+                  "stump": M.random_forest(["DepDelay"], num_trees=1, max_depth=1, max_bins=256, bagging=False).fit(rows)}
     return _rounded(M.compare_models(models, test))
 
 
@@ -1282,7 +1290,8 @@ def _forest_checks(pred: DataFrame, train: DataFrame) -> DataFrame:
 def q_random_forest(spark, d):
     """50 trees of depth 8, seed 42."""
     train, test = _train_test(spark, d)
-    return _forest_checks(_fit(M.random_forest(MODEL_FEATURES), train).transform(test), train)
+    with M.laid_out(train) as rows:
+        return _forest_checks(M.random_forest(MODEL_FEATURES).fit(rows).transform(test), rows)
 
 
 ROUNDED_SPLIT = "round(threshold, 6) AS threshold, round(mean_left, 6) AS mean_left, round(mean_right, 6) AS mean_right"
@@ -1423,8 +1432,9 @@ def q_first_predictions(spark, d):
 def q_model_comparison(spark, d):
     """Linear regression against 50 trees of depth 8, one scan of the test rows."""
     train, test = _train_test(spark, d)
-    models = {"linear_regression": _fit(M.linear_regression(MODEL_FEATURES), train),
-              "random_forest": _fit(M.random_forest(MODEL_FEATURES), train)}
+    with M.laid_out(train) as rows:
+        models = {"linear_regression": M.linear_regression(MODEL_FEATURES).fit(rows),
+                  "random_forest": M.random_forest(MODEL_FEATURES).fit(rows)}
     return M.compare_models(models, test).select("model", "n", (F.col("r2") > 0).alias("r2_positive"))
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ontime.session import keep_compiled
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -56,4 +58,4 @@ def flights_from_lineitem(li: DataFrame) -> DataFrame:
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``fl`` view for one scale-factor folder."""
-    return flights_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    return flights_from_lineitem(read_table(keep_compiled(spark), sf_dir, "lineitem"))
