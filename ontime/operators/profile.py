@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.expressions import is_missing, is_valid_number, pct
+from ontime.sources.sinks import written
 from ontime.operators.quantiles import (
     quantiles_approx,
     quantiles_cont,
@@ -184,6 +185,8 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     expressions.  Only the k x k result reaches the driver.
     """
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop(how="any")
+    if columns:
+        data = written(data, "correlation")  # the range aggregate and the passes of the covariance each read it
     spread = data.agg(F.count(F.lit(1)).alias("n"),
                       F.array(*[F.min(c) for c in columns]).alias("lo"),
                       F.array(*[F.max(c) for c in columns]).alias("hi")).first()

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.expressions import hash_fraction_predicate, hash_unit
-from ontime.sources.sinks import cut_lineage
+from ontime.sources.sinks import cut_lineage, written
 
 
 def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -37,6 +37,19 @@ def hash_split(df: DataFrame, test_fraction: float, keys: list[str]) -> tuple[Da
     return df.filter(~is_test), df.filter(is_test)
 
 
+def hash_split_written(df: DataFrame, test_fraction: float, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``hash_split`` of a frame whose halves are passed over more than once.
+
+    The rows are computed and hashed once and written by half to the shared
+    scratch folder; every pass then reads its half's files alone.
+    """
+    column = "split"
+    while column in [c.lower() for c in df.columns]:
+        column += "_"
+    rows = written(split_labelled(df, test_fraction, keys, column), "split", [column])
+    return tuple(rows.filter(F.col(column) == side).drop(column) for side in ("train", "test"))
+
+
 def split_labelled(df: DataFrame, test_fraction: float, keys: list[str], column: str = "split") -> DataFrame:
     """The hash split as one frame with a ``train``/``test`` column."""
     is_test = hash_fraction_predicate(test_fraction, *keys)

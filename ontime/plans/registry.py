@@ -60,7 +60,7 @@ from ontime.sources.files import path_exists, read_csv_raw, read_csv_typed, read
 from ontime.sources.fixture import flights, flights_from_lineitem, read_table, table_path
 from ontime.sources.reconcile import conflict_report, reconciled_scan, reconciled_table, schema_groups
 from ontime.sources.rejects import ingest_csv
-from ontime.sources.sinks import write_layer
+from ontime.sources.sinks import write_layer, written
 from ontime.streaming import ingest_stream, run_until_caught_up
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1081,7 +1081,8 @@ def q_transform_impute_scale(spark, d):
     The label is neither imputed nor scaled (no leak of the target); hours are
     imputed like the other columns, so no row is skipped.
     """
-    imputed = M.impute_mean(transformed(spark, d), STAGE5_COLS).df
+    rows = written(transformed(spark, d).select("Month", "DayofMonth", *STAGE5_COLS), "transformed")  # three passes follow
+    imputed = M.impute_mean(rows, STAGE5_COLS).df
     scaled, _ = M.standard_scale(imputed.select("Month", "DayofMonth", *STAGE5_COLS), STAGE5_COLS)
     out = M.unpack_vector(scaled, "scaled_features", STAGE5_COLS, prefix="z_")
     return out.select("Month", "DayofMonth", *[r6(f"z_{c}").alias(f"z_{c}") for c in STAGE5_COLS])
@@ -1157,7 +1158,8 @@ def _train_test(spark, d):
     f = C.not_cancelled(f)
     f = M.add_hours(C.cast_columns(f, {"DepTime": "double", "ArrTime": "double"}))
     f = f.select(*KEYS, *MODEL_FEATURES, LABEL).dropna()
-    return S.hash_split(f, 0.2, KEYS)
+    # Every model query counts, lays out, fits and scores: the view is typed, filtered and hashed once for all passes.
+    return S.hash_split_written(f, 0.2, KEYS)
 
 
 def _fit(pipeline, train):

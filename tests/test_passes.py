@@ -63,3 +63,37 @@ def test_random_halves_are_counted_with_their_copies(spark, tmp_path, monkeypatc
     monkeypatch.setattr(R.S, "random_split", lambda df, *a, **k: [df.dropDuplicates(), real(df, *a, **k)[1].limit(0)])
     found = R.q_random_split_counts(spark, d).first()
     assert 0 < found["lost"] == n - found["total"] and not found["near"]
+
+
+def test_passes_over_the_models_rows_do_not_run_the_view_again(spark, tmp_path):
+    d = lineitem(spark, tmp_path)
+    halves = R._train_test(spark, d)
+    files = [f for half in halves for f in half.inputFiles()] + R.QUERIES["transform_impute_scale"](spark, d).inputFiles()
+    assert files and not any("lineitem" in f for f in files)
+    rows = R.C.not_cancelled(R.C.typed_features(R.clean(spark, d), keep_extra=R.KEYS).df)
+    for half, plain in zip(halves, R.S.hash_split(rows, 0.2, R.KEYS), strict=True):
+        keys = [*R.KEYS, "ArrDelay"]
+        assert half.count() and sorted(half.select(*keys).collect()) == sorted(plain.select(*keys).collect())
+
+
+def test_written_split_keeps_null_keys_columns_and_empty_halves(spark):
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (None, "b"), (3, None)], "k int, Split string")
+    halves = R.S.hash_split_written(rows, 0.5, ["k"])
+    plain = R.S.hash_split(rows, 0.5, ["k"])
+    for half, other in zip(halves, plain, strict=True):
+        assert half.columns == rows.columns
+        assert sorted(map(str, half.collect())) == sorted(map(str, other.collect()))
+    assert [h.count() for h in R.S.hash_split_written(rows.limit(0), 0.2, ["k"])] == [0, 0]
+
+
+def test_correlation_reads_its_rows_once(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(100).selectExpr("id", "id * id AS b").mapInArrow(counted, "id long, b long")
+    found = R.P.correlation_matrix(rows, ["id", "b"]).collect()
+    assert len(found) == 4 and seen.value == 100
