@@ -235,18 +235,21 @@ def train_partitions(rows: int) -> int:
 
 
 @contextmanager
-def laid_out(train: DataFrame, partitions: int | None = None) -> Iterator[DataFrame]:
+def laid_out(train: DataFrame, partitions: int | None = None, label: str = LABEL) -> Iterator[DataFrame]:
     """The train set cached in one layout (memory, spilling to disk), released after; several fits may share it.
 
     Estimators pass over their input many times, and a forest's bagging draws
     by partition and row position.  The rows are therefore always dealt by the
     hash of all columns to ``partitions`` partitions and sorted in them: the
     fitted model depends on that number, not on files, cores or upstream
-    shuffles.  Unless stated it follows from the number of rows
+    shuffles.  They are sorted by the label first: rows of near labels mostly
+    reach the same nodes of a forest, whose counts then stay in the processor's
+    cache.  Unless stated it follows from the number of rows
     (``train_partitions``), which costs one count.
     """
     partitions = partitions or train_partitions(train.count())
-    ordered = train.repartition(partitions, *train.columns).sortWithinPartitions(*train.columns)
+    order = sorted(train.columns, key=lambda c: c != label)
+    ordered = train.repartition(partitions, *train.columns).sortWithinPartitions(*order)
     cached = ordered.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield cached

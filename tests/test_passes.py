@@ -97,3 +97,11 @@ def test_correlation_reads_its_rows_once(spark, monkeypatch):
     rows = spark.range(100).selectExpr("id", "id * id AS b").mapInArrow(counted, "id long, b long")
     found = R.P.correlation_matrix(rows, ["id", "b"]).collect()
     assert len(found) == 4 and seen.value == 100
+
+
+def test_layout_is_sorted_by_the_label(spark):
+    rows = spark.range(200).selectExpr("id AS k", "CAST(id * 37 % 50 AS double) AS ArrDelay")
+    with M.laid_out(rows, 4) as laid:
+        parts = laid.rdd.glom().collect()
+    assert sum(map(len, parts)) == 200
+    assert all(list(p) == sorted(p, key=lambda r: (r["ArrDelay"], r["k"])) for p in parts)
