@@ -16,8 +16,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import string
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import Counter
@@ -43,65 +45,96 @@ FILLINGS = 24
 CACHE_WORDS = 1_000_000
 
 _SEPARATORS = re.compile("[\x1c-\x1f]")
-_TAIL = ",.;:!?"
+_TAIL = string.punctuation
 _ENCODERS: dict[str, tuple] = {}
 
 
+def _uncached(model: dict):
+    from tokenizers.models import BPE
+
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    names = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    given = {k: model[k] for k in names if model.get(k) is not None}
+    return BPE(vocab=model["vocab"], merges=merges, cache_capacity=0, **given)
+
+
 def _encoder(path: str):
     if path not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         tokenizer = Tokenizer.from_file(path)
+        # Only words not met before are encoded, so the model's own cache of words would be filled and never hit.
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        tokenizer.model = _uncached(model)
+        # Of lower-case ASCII letters the normaliser and the byte level change nothing, and white space parts them.
+        letters = Tokenizer(_uncached(model))
+        letters.pre_tokenizer = WhitespaceSplit()
         special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
         for piece, i in tokenizer.get_vocab().items():
             ends[i] = piece.endswith("</w>")
-        _ENCODERS[path] = (tokenizer, {}, ends, special)
+        _ENCODERS[path] = (tokenizer, letters, {}, ends, special)
     return _ENCODERS[path]
 
 
 def text_ids(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian uint32 bytes."""
-    tokenizer, known, ends, special = _encoder(path)
+    tokenizer, quick, known, ends, special = _encoder(path)
     # str.split also splits at the four information separators, which the tokenizer does not; and special tokens
     # stand wherever they are written.  Such texts are encoded as they are.
     plain = [not _SEPARATORS.search(t) and not any(x in t for x in special) for t in texts]
     # The tokenizer lower-cases; for ASCII that is str.lower, so fewer words differ.
     lists = [(t.lower() if t.isascii() else t).split() if p else [] for t, p in zip(texts, plain, strict=True)]
-    words = set().union(*lists)
-    new = words.difference(known)
+    found = [list(map(known.get, words)) for words in lists]
+    new = {w for words, ids in zip(lists, found, strict=True) if None in ids
+           for w, x in zip(words, ids, strict=True) if x is None}
     if len(known) + len(new) > CACHE_WORDS:
         known.clear()
-        new = words
     # Letters and digits never share a token with the marks after them: a word's ids are its stem's and its tail's.
     # (A letter may become letter and combining mark in lower case, which is a mark.)
-    cut = {w: (s, w[len(s):]) for w in new if len(s := w.rstrip(_TAIL)) < len(w) and s and s[-1].lower()[-1].isalnum()}
-    alone = {x for parts in cut.values() for x in parts}.union(new.difference(cut)).difference(known)
+    cut, alone = [], set()
+    for w in new:
+        stem = w.rstrip(_TAIL)
+        if len(stem) < len(w) and stem and stem[-1].lower()[-1].isalnum():
+            cut.append((w, stem, w[len(stem):]))
+            alone.add(stem)
+            alone.add(cut[-1][2])
+        else:
+            alone.add(w)
+    alone = [w for w in alone if w not in known]
     # A word of letters only is one pre-token, whose last id is an end of word: many such words go as one text.
     letters = [w for w in alone if w.isalpha()]
-    for start in range(0, len(letters), 4096):
-        part = letters[start:start + 4096]
-        ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
-        stops = np.flatnonzero(ends[ids]) + 1
-        if len(stops) == len(part):
-            data, low = ids.tobytes(), 0
-            for w, high in zip(part, (4 * stops).tolist(), strict=True):
-                known[w] = data[low:high]
-                low = high
+    ascii_letters = [w for w in letters if w.isascii()]
+    other_letters = [w for w in letters if not w.isascii()]
+    for words, encoder in ((ascii_letters, quick), (other_letters, tokenizer)):
+        for start in range(0, len(words), 4096):
+            part = words[start:start + 4096]
+            text = " ".join(part).lower() if encoder is quick else " ".join(part)
+            ids = np.array(encoder.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            stops = np.flatnonzero(ends[ids]) + 1
+            if len(stops) == len(part):
+                data, low = ids.tobytes(), 0
+                for w, high in zip(part, (4 * stops).tolist(), strict=True):
+                    known[w] = data[low:high]
+                    low = high
     rest = [w for w in alone if w not in known]
     for start in range(0, len(rest), 4096):
         part = rest[start:start + 4096]
         for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
             known[w] = np.array(e.ids, dtype="<u4").tobytes()
-    for w, (stem, tail) in cut.items():
+    for w, stem, tail in cut:
         known[w] = known[stem] + known[tail]
     out = []
-    for t, p, words in zip(texts, plain, lists, strict=True):
-        if p:
-            out.append(b"".join(map(known.__getitem__, words)))
-        else:
+    for t, p, words, ids in zip(texts, plain, lists, found, strict=True):
+        if not p:
             out.append(np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes())
+        elif None in ids:
+            out.append(b"".join([known[w] if x is None else x for w, x in zip(words, ids, strict=True)]))
+        else:
+            out.append(b"".join(ids))
     return out
 
 

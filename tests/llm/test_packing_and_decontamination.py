@@ -62,6 +62,16 @@ def test_word_cache_gives_the_tokenizers_ids(texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in B.text_ids(texts, PATH)] == want
 
 
+def test_words_share_the_ids_of_their_stem_and_marks():
+    B._ENCODERS.pop(PATH, None)
+    texts = ["menteraar*** Menteraar### été$$$ dogs' it's\x01** x\x7f!! <b>&&& don't.' ÉTÉ%% " + w for w in ("Abc", "É", "***")]
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in B.text_ids(texts, PATH)] == want
+    known = next(x for x in B._ENCODERS[PATH] if isinstance(x, dict))
+    assert {"menteraar", "***", "###", "été", "$$$"} <= set(known)
+
+
 def check_packing(rows, docs):
     """Every document's ids are there once, in order, and sequences are gapless and within bounds."""
     tokenizer = Tokenizer.from_file(PATH)
