@@ -184,9 +184,12 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     with the columns squared inside tight array loops, not with as many SQL
     expressions.  Only the k x k result reaches the driver.
     """
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop(how="any")
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     if columns:
-        data = written(data, "correlation")  # the range aggregate and the passes of the covariance each read it
+        # The range aggregate and the passes of the covariance each read it.  Rows are left out after the write: ahead of
+        # it, the filter would be pushed below the columns' expressions and compute them all a second time.
+        data = written(data, "correlation")
+    data = data.na.drop(how="any")
     spread = data.agg(F.count(F.lit(1)).alias("n"),
                       F.array(*[F.min(c) for c in columns]).alias("lo"),
                       F.array(*[F.max(c) for c in columns]).alias("hi")).first()

@@ -105,3 +105,12 @@ def test_layout_is_sorted_by_the_label(spark):
         parts = laid.rdd.glom().collect()
     assert sum(map(len, parts)) == 200
     assert all(list(p) == sorted(p, key=lambda r: (r["ArrDelay"], r["k"])) for p in parts)
+
+
+def test_correlation_leaves_rows_out_after_the_write(spark, monkeypatch):
+    given, real = [], R.P.written
+    monkeypatch.setattr(R.P, "written", lambda df, *a: given.append(df.count()) or real(df, *a))
+    rows = spark.createDataFrame([(1.0, 2.0), (2.0, None), (3.0, 5.0), (float("nan"), 1.0), (4.0, 9.0)], "a double, b double")
+    plain = rows.na.drop().agg(F.corr("a", "b")).first()[0]
+    found = {(r["col_x"], r["col_y"]): r["r"] for r in R.P.correlation_matrix(rows, ["a", "b"]).collect()}
+    assert given == [5] and abs(found["a", "b"] - plain) < 1e-12
