@@ -258,9 +258,24 @@ def laid_out(train: DataFrame, partitions: int | None = None, label: str = LABEL
 
 
 def fit_persisted(pipeline: Pipeline, train: DataFrame, partitions: int | None = None) -> PipelineModel:
-    """Fit on the ``laid_out`` train set."""
-    with laid_out(train, partitions) as cached:
-        return pipeline.fit(cached)
+    """Fit on the ``laid_out`` train set, or a linear pipeline on the rows themselves.
+
+    A forest's draws depend on the layout.  A linear fit is made of sums over
+    all rows, whose order changes their rounding alone: sorting and caching the
+    rows for it would cost more than its passes.  Its iterative solvers keep
+    the rows as blocks; these get no larger than ``train_partitions`` allows.
+    """
+    if any(isinstance(s, RandomForestRegressor) for s in pipeline.getStages()):
+        with laid_out(train, partitions) as cached:
+            return pipeline.fit(cached)
+    if any(_iterative(s) for s in pipeline.getStages()):
+        train = train.repartition(partitions or train_partitions(train.count()), *train.columns)
+    return pipeline.fit(train)
+
+
+def _iterative(stage) -> bool:
+    """An estimator that passes over its rows until it converges, rather than once."""
+    return isinstance(stage, LogisticRegression) or (isinstance(stage, LinearRegression) and stage.getSolver() == "l-bfgs")
 
 
 def save_model(model: PipelineModel, path: str) -> str:

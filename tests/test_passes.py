@@ -107,6 +107,54 @@ def test_layout_is_sorted_by_the_label(spark):
     assert all(list(p) == sorted(p, key=lambda r: (r["ArrDelay"], r["k"])) for p in parts)
 
 
+def test_complete_rows_are_kept_after_the_split_is_written(spark, tmp_path, monkeypatch):
+    """A filter ahead of the write is pushed below the casts, which then run twice."""
+    d, given, real = lineitem(spark, tmp_path), [], R.S.hash_split_written
+    rows = spark.read.parquet(f"{d}/lineitem.parquet")
+    rows.limit(3).withColumn("l_tax", F.lit(None).cast("double")).write.mode("append").parquet(f"{d}/lineitem.parquet")
+    monkeypatch.setattr(R.S, "hash_split_written", lambda df, *a: given.append(df) or real(df, *a))
+    halves = R._train_test(spark, d)
+    assert sum(h.count() for h in halves) == given[0].dropna().count() < given[0].count()
+    assert "atleastnnonnulls" not in given[0]._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_a_split_is_written_without_a_sort(spark, monkeypatch):
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    writer = type(spark.range(1).write)
+    real = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda self, *a, **k: seen.append(int(spark.conf.get(name))) or real(self, *a, **k))
+    before = spark.conf.get(name)
+    halves = R.S.hash_split_written(spark.range(50).selectExpr("id AS k"), 0.5, ["k"])
+    assert seen[0] > 2 and spark.conf.get(name) == before
+    assert sorted(r["k"] for h in halves for r in h.collect()) == list(range(50)) and all(h.count() for h in halves)
+
+
+def test_only_forests_are_laid_out(spark, tmp_path, monkeypatch):
+    d, seen, laid_out = lineitem(spark, tmp_path), [], M.laid_out
+
+    @contextmanager
+    def counted(train, *rest):
+        seen.append(train.columns)
+        with laid_out(train, *rest) as rows:
+            yield rows
+
+    monkeypatch.setattr(M, "laid_out", counted)
+    for query, columns in (("score_rows", []), ("linear_regression_certificate", []), ("model_roundtrip", []), ("delay_classifier", [])):
+        seen.clear()
+        assert R.QUERIES[query](spark, d).count() and seen == columns
+
+
+def test_iterative_fits_get_bounded_partitions(spark, monkeypatch):
+    monkeypatch.setattr(M, "TRAIN_PARTITION_ROWS", 10)
+    rows = spark.range(300).selectExpr("CAST(id % 7 AS double) AS x", "CAST(id % 2 AS double) AS is_delayed", "1.0D AS class_weight")
+    asked = []
+    real = type(rows).repartition
+    monkeypatch.setattr(type(rows), "repartition", lambda self, n, *c: asked.append(n) or real(self, n, *c))
+    M.fit_persisted(M.delay_classifier(["x"], max_iter=2), rows)
+    M.fit_persisted(M.linear_regression(["x"], label="is_delayed"), rows)
+    assert asked == [30]
+
+
 def test_correlation_leaves_rows_out_after_the_write(spark, monkeypatch):
     given, real = [], R.P.written
     monkeypatch.setattr(R.P, "written", lambda df, *a: given.append(df.count()) or real(df, *a))
