@@ -139,7 +139,8 @@ def test_only_forests_are_laid_out(spark, tmp_path, monkeypatch):
             yield rows
 
     monkeypatch.setattr(M, "laid_out", counted)
-    for query, columns in (("score_rows", []), ("linear_regression_certificate", []), ("model_roundtrip", []), ("delay_classifier", [])):
+    for query, columns in (("score_rows", []), ("linear_regression_certificate", []), ("model_roundtrip", []), ("delay_classifier", []),
+                           ("model_comparison_exact", [[*R.KEYS, "DepDelay", "ArrDelay"]])):
         seen.clear()
         assert R.QUERIES[query](spark, d).count() and seen == columns
 
