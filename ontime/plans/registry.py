@@ -22,6 +22,7 @@ from ontime.functions.expressions import (
     delayed_flag,
     hhmm_hour,
     minutes_of_day,
+    quick_round,
 )
 from ontime.operators import cleaning as C
 from ontime.operators import gradient as G
@@ -1085,7 +1086,7 @@ def q_transform_impute_scale(spark, d):
     imputed = M.impute_mean(rows, STAGE5_COLS).df
     scaled, _ = M.standard_scale(imputed.select("Month", "DayofMonth", *STAGE5_COLS), STAGE5_COLS)
     out = M.unpack_vector(scaled, "scaled_features", STAGE5_COLS, prefix="z_")
-    return out.select("Month", "DayofMonth", *[r6(f"z_{c}").alias(f"z_{c}") for c in STAGE5_COLS])
+    return out.select("Month", "DayofMonth", *[quick_round(f"z_{c}").alias(f"z_{c}") for c in STAGE5_COLS])
 
 
 @query("scale_train_apply_test", with_ctes(
