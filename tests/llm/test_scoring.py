@@ -191,3 +191,77 @@ def test_rows_of_one_large_batch_all_count(make_docs):
     """A task's batch of more than ``CHUNK_ROWS`` rows is cut; the later cuts' words count like the first's."""
     rows = [(i, f"Word{i % 50} AND w{i} ÄB") for i in range(L.CHUNK_ROWS + 500)]
     same_base(L.score(make_docs(rows, parts=1), fold()).collect(), brute_base(rows, in_training))
+
+
+def brute_score(rows, training):
+    """The tree by its definition, with dictionaries: any number of words a context, absolute counts."""
+    texts = [tokens_of(t) for i, t in rows if training(i)]
+    counts = Counter(w for t in texts for w in t)
+    unseen = sum(counts.values()) + len(counts) + 1
+    runs = Counter()
+    for t in texts:
+        t = [L.END, *t]
+        runs.update(tuple(t[i - d:i + 1]) for i in range(1, len(t)) for d in range(1, i + 1))
+    after = {}
+    for r, n in runs.items():
+        after.setdefault(r[:-1], {})[r[-1]] = n
+    states = {}
+
+    def p(w, context):
+        if not context:
+            return (counts[w] + 1) / unseen
+        if context not in states:
+            return p(w, context[1:])
+        total, listed, backoff = states[context]
+        q = p(w, context[1:])
+        return (listed[w] + L.MU * q) / (total + L.MU) if w in listed else backoff * q
+
+    for context in sorted(after, key=len):
+        total, listed = sum(after[context].values()), {w: n for w, n in after[context].items() if n >= L.LEAST}
+        if not listed or len(context) > 1 and context[1:] not in states:
+            continue
+        q = {w: p(w, context[1:]) for w in listed}
+        rest, free = total - sum(listed.values()), max(1 - sum(q.values()), 1e-12)
+        kl = sum(n / total * math.log(n / total / q[w]) for w, n in listed.items())
+        kl += rest / total * math.log(rest / total / free) if rest else 0
+        if 2 * total * kl >= max(len(listed) + L.DEVIATIONS * math.sqrt(2 * len(listed)), L.LEAST_GAIN):
+            states[context] = total, listed, (rest + L.MU * free) / ((total + L.MU) * free)
+    out = []
+    for i, text in rows:
+        t, total = [L.END, *tokens_of(text)], 0.0
+        for at in range(1, len(t)):
+            kept = [d for d in range(1, at + 1) if tuple(t[at - d:at]) in states]
+            total += math.log10(p(t[at], tuple(t[at - max(kept, default=0):at])))
+        out.append((i, total))
+    return sorted(out, key=repr), states
+
+
+@pytest.mark.parametrize("shares", [None, (0.02, 0.02), (1.0, 1.0)])
+def test_score_equals_brute_force(make_docs, monkeypatch, shares):
+    """Contexts of any length, with all, some or no words and runs sent to the tasks."""
+    if shares:
+        monkeypatch.setattr(L, "HEAD", shares[0])
+        monkeypatch.setattr(L, "LISTED", shares[1])
+    rng = random.Random(5)
+    rows = []
+    for i in range(260):
+        w = ["a", "b", "c"]
+        for _ in range(rng.randrange(50)):  # the next word depends on the three before it
+            w.append("abcd"[zlib.crc32(" ".join(w[-3:]).encode()) % 4] if rng.random() < 0.8 else rng.choice(["a", "b", "Once", f"w{rng.randrange(40)}"]))
+        rows.append((i, rng.choice([" ", "\n"]).join(w)))
+    rows += [(900, None), (901, ""), (None, "a b c"), (902, "a"), (902, "a")]
+    want, states = brute_score(rows, in_training)
+    assert max(map(len, states)) > 2
+    got = sorted(((r["doc_id"], r["score"]) for r in L.score(make_docs(rows), fold()).collect()), key=repr)
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert np.allclose([x for _, x in got], [x for _, x in want], rtol=1e-9)
+
+
+def test_rare_words_are_contexts_at_any_corpus_size(make_docs):
+    """A passage that occurs twice is learnt however many other words there are."""
+    passage = " ".join(f"seldom{k}" for k in range(30))
+    rng = random.Random(3)
+    other = [(i, " ".join(rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(400))) for i in range(250)]
+    docs = make_docs([(1000, passage), (1001, passage), (1002, " ".join(reversed(passage.split()))), *other])
+    got = {r["doc_id"]: r["score"] - r["base_score"] for r in L.score(docs, F.col("doc_id") != 1002).collect()}
+    assert got[1000] == pytest.approx(got[1001]) and got[1000] > 50 > 5 > got[1002]
