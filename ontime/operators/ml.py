@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ontime.functions.expressions import delayed_flag, hhmm_hour, is_valid_number
 from ontime.operators.cleaning import canonical_names, cast_columns, not_cancelled
+from ontime.operators.forest import BinnedForestRegressor
 from ontime.schema import LABEL, MODEL_FEATURES, transformed_types
 
 
@@ -132,10 +133,10 @@ def linear_regression(features: list[str], label: str = LABEL, max_iter: int = 5
 
 def random_forest(features: list[str], label: str = LABEL, num_trees: int = 50, max_depth: int = 8,
                   seed: int = 42, max_bins: int = 32, subset: str = "auto", bagging: bool = True) -> Pipeline:
-    """Assembler + ``RandomForestRegressor`` (M6); ``max_bins`` thresholds a feature, ``subset`` of features a split."""
+    """Assembler + ``BinnedForestRegressor`` (M6); ``max_bins`` thresholds a feature, ``subset`` of features a split."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=features, outputCol="features_vec", handleInvalid="skip"),
-        RandomForestRegressor(featuresCol="features_vec", labelCol=label, numTrees=num_trees,
+        BinnedForestRegressor(featuresCol="features_vec", labelCol=label, numTrees=num_trees,
                               maxDepth=max_depth, seed=seed, maxBins=max_bins, featureSubsetStrategy=subset,
                               bootstrap=bagging),
     ])
